@@ -4,19 +4,48 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, language_id, mixing, quality_rules, simhash, url_filters
 from .common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The rules of the URL query.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    return quality_rules.filter_by_rules(read_table(spark, sf_dir, "documents"), labels)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    size, copies = F.col("__size"), F.col("__copies")
+    return mixed.select("doc_id", size.alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (size * copies).alias("taken"), copies.alias("copies"), F.col("__rate").alias("rate"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes: labels whose doc_id is a page_id; a page of low quality or with toxic text is bad."""
+    bad = F.greatest(1 - F.col("quality"), F.col("toxic"))
+    outcomes = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return url_filters.filter_urls(read_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op2_bpe": op2_bpe}
+    return {f.__name__: f for f in (op2_bpe, op4_quality_rules, op5_mixing, op8_simhash, op9_url_filters, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
