@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, mixing, quality_rules, simhash, url_filters
+from . import bpe, language_id, line_dedup, mixing, quality_rules, simhash, url_filters
 from .common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", size.alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (size * copies).alias("taken"), copies.alias("copies"), F.col("__rate").alias("rate"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__kept").alias("n_kept"), F.sha2(F.col("__text"), 256).alias("text_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op4_quality_rules, op5_mixing, op8_simhash, op9_url_filters, op10_language_id)}
+    return {f.__name__: f for f in (op2_bpe, op4_quality_rules, op5_mixing, op7_line_dedup, op8_simhash, op9_url_filters, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
