@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[tuple[pa.Table, np.ndarray, int, bool]]:
-    """Cuts rows that are sorted by key into tables of whole runs: (rows, starts of runs, part, split).
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[tuple[pa.Table, np.ndarray, int, bool]]:
+    """Cuts rows that are sorted by keys (columns of longs) into tables of whole runs: (rows, starts of runs, part, split).
 
     At most about most rows and one batch are held. A longer run comes in parts of most rows, one table
     each, with split true and part counting from 0; what joins the parts is up to the caller.
@@ -17,8 +17,14 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Itera
     held, part, split_key = None, 0, None
 
     def starts(table):
-        k = table.column(key).to_numpy()
-        return np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for k in (table.column(x).to_numpy() for x in keys):
+            new[1:] |= k[1:] != k[:-1]
+        return np.flatnonzero(new)
+
+    def key_of(table):
+        return tuple(table.column(x)[0].as_py() for x in keys)
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -26,7 +32,7 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Itera
         while held.num_rows:
             s = starts(held)
             last = int(s[-1])
-            first_key = held.column(key)[0].as_py()
+            first_key = key_of(held)
             if split_key is not None and first_key != split_key:
                 split_key, part = None, 0
             if split_key is None and last > 0:
@@ -43,7 +49,7 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Itera
                 break
     if held is not None and held.num_rows:
         s = starts(held)
-        if split_key is not None and held.column(key)[0].as_py() == split_key:
+        if split_key is not None and key_of(held) == split_key:
             yield held, s[:1], part, True
         else:
             yield held, s, 0, False

@@ -80,9 +80,9 @@ def _forest(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray
     return out
 
 
-def _scan(distance: int):
+def _scan(distance: int, most: int):
     def run(batches):
-        for table, starts, part, split in sorted_runs(batches, "key", _PART):
+        for table, starts, part, split in sorted_runs(batches, ["key"], most):
             fps = table.column("fp").to_numpy().view(np.uint64)
             lengths = np.diff(np.r_[starts, len(fps)])
             found = []
@@ -108,16 +108,16 @@ def _scan(distance: int):
     return run
 
 
-def links(fps: DataFrame, distance: int = 4, blocks: int = 7) -> DataFrame:
+def links(fps: DataFrame, distance: int = 4, blocks: int = 7, part: int = _PART) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp) that connect the same groups as all links of
     at most distance differing bits. Distinct fingerprints are dealt out by each mask of blocks and
     compared within a run of equal keys; within a large run only a forest of links comes out. Runs over
-    65,536 rows go on part against part, each pair of parts a task of its own."""
+    part rows go on part against part, each pair of parts a task of its own."""
     spark = fps.sparkSession
     keys = [F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m if m < 1 << 63 else m - (1 << 64)))) for k, m in enumerate(block_masks(blocks, distance))]
     dealt = fps.select("fp").distinct().select("fp", F.explode(F.array(*keys)).alias("key"))
     ready_for_python(spark, 65_536)
-    found = materialize(dealt.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_scan(distance), "a long, b long, key long, part long"))
+    found = materialize(dealt.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_scan(distance, part), "a long, b long, key long, part long"))
     rest = found.where("b is null")
     out = found.where("b is not null").select("a", "b")
     if not rest.isEmpty():
