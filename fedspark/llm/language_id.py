@@ -75,17 +75,21 @@ def counts(text: str) -> np.ndarray:
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by dual coordinate descent."""
-    order, w, a = np.random.default_rng(seed), np.zeros(x.shape[1]), np.zeros(len(x))
-    norm = np.einsum("ij,ij->i", x, x) + 1 / (2 * c)
+def _svm(x: np.ndarray, of: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss, by dual coordinate descent over the rows of
+    x that of names. Returns the weights, with the bias (a constant input of 1) at the end."""
+    order, w, a = np.random.default_rng(seed), np.zeros(x.shape[1] + 1), np.zeros(len(of))
+    norm = np.array([float(x[i] @ x[i]) for i in of]) + 1 + 1 / (2 * c)
     for _ in range(rounds):
         moved = 0.0
-        for i in order.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1 + a[i] / (2 * c)
+        for i in order.permutation(len(of)):
+            row = x[of[i]]
+            g = y[i] * (float(row @ w[:-1]) + w[-1]) - 1 + a[i] / (2 * c)
             new = max(0.0, a[i] - g / norm[i])
             if new != a[i]:
-                w += (new - a[i]) * y[i] * x[i]
+                step = (new - a[i]) * y[i]
+                w[:-1] += step * row
+                w[-1] += step
                 moved = max(moved, abs(new - a[i]))
                 a[i] = new
         if moved < 1e-3:
@@ -130,23 +134,22 @@ class Model:
 
 
 def fit(x: np.ndarray, langs: list[str]) -> Model:
-    """x: a row of gram counts a text. Counts become shares, each scaled by the inverse root of its mean
-    share; the scale goes into the weights."""
+    """x: a row of gram counts a text, which this overwrites. Counts become shares, each scaled by the
+    inverse root of its mean share; the scale goes into the weights."""
     names = sorted(set(langs))
     groups: dict[str, list[str]] = {}
     for n in names:
         groups.setdefault(family(n), []).append(n)
     families = sorted(groups)
-    shares = x / np.maximum(x.sum(axis=1, keepdims=True), 1)
-    scale = 1 / np.sqrt(shares.mean(axis=0) + 1e-6) if len(x) else np.ones(_DIM)
-    z = np.c_[shares * scale, np.ones(len(x))]
-    of = np.array([family(n) for n in langs])
-    lang = np.array(langs)
-    columns = [_svm(z, np.where(of == f, 1.0, -1.0)) if len(families) > 1 else np.zeros(_DIM + 1) for f in families]
+    x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
+    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6) if len(x) else np.ones(_DIM)
+    x *= scale
+    of, lang, every = np.array([family(n) for n in langs]), np.array(langs), np.arange(len(langs))
+    columns = [_svm(x, every, np.where(of == f, 1.0, -1.0)) if len(families) > 1 else np.zeros(_DIM + 1) for f in families]
     pairs = [p for f in families for p in combinations(groups[f], 2)]
     for a, b in pairs:
-        rows = (lang == a) | (lang == b)
-        columns.append(_svm(z[rows], np.where(lang[rows] == a, 1.0, -1.0)))
+        rows = np.flatnonzero((lang == a) | (lang == b))
+        columns.append(_svm(x, rows, np.where(lang[rows] == a, 1.0, -1.0)))
     w = np.stack(columns, axis=1) if columns else np.zeros((_DIM + 1, 0))
     w[:-1] *= scale[:, None]
     return Model(families, groups, pairs, w)
@@ -157,7 +160,7 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 2000) -> Model:
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 1200) -> Model:
     """Learns from at most sample labelled documents that aren't held out, an even share for each language:
     those whose ids hash lowest. Ids choose the sample and are no input of a prediction. Rows without
     an id, a text or a language teach nothing. Each language's sample is a distributed top-k; sample
@@ -168,7 +171,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rows = rows.where(~held_out(F.col("id"))).where(F.col("text").rlike(r"\p{L}"))
     known = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())
     if not known:
-        return fit(np.zeros((0, _DIM)), [])
+        return fit(np.zeros((0, _DIM), np.float32), [])
     each = max(1, sample // len(known))
     draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30))
     # about twice the share of each language, then exactly the lowest
@@ -188,8 +191,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         picked = part if picked is None else picked.union(part)
     got = picked.select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
     got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in got]).astype(np.float64)
-    return fit(x, [r["lang"] for r in got])
+    x, langs = np.empty((len(got), _DIM), np.float32), [r["lang"] for r in got]
+    for k in range(len(got)):
+        x[k], got[k] = np.frombuffer(got[k]["x"], np.float32), None
+    return fit(x, langs)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -207,7 +212,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return out.select(*(out[c] for c in names), out["__found"]["lang"].alias("__lang"), out["__found"]["score"].alias("__score"))
 
 
-def predictions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 2000) -> DataFrame:
+def predictions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 1200) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row; repeated rows come out repeated, an empty table
     gives no rows and without labelled rows every prediction is und."""
     model = train(docs, doc_id, text, lang, sample)
