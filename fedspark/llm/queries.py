@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality_rules, simhash, token_counts, url_filters
+from . import oracles
 from .common import read_table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,4 +68,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_url_filters": oracles.URL_FILTERS}
