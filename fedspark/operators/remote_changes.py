@@ -54,7 +54,7 @@ def _staged(spark: SparkSession, table: ForeignTable, rows: DataFrame, user: Use
             connection.commit()
         except Exception as e:
             connection.rollback()
-            raise (e if isinstance(e, RowCountMismatch) else from_remote(e)) from e
+            raise (from_remote(e) if hasattr(e, "java_exception") else e)
     finally:
         connection.setAutoCommit(True)
         connection.createStatement().executeUpdate(f"DROP TABLE {stage}")
@@ -64,8 +64,10 @@ def _staged(spark: SparkSession, table: ForeignTable, rows: DataFrame, user: Use
 def _one_row_each(connection, stage: str, target: str, on: str, asked: int, keys: Sequence[str]) -> None:
     found = connection.createStatement().executeQuery(f"SELECT COUNT(*) FROM {target} t INNER JOIN {stage} s ON {on}")
     found.next()
-    if found.getInt(1) != asked:
-        raise RowCountMismatch(f"{asked} changes meet {found.getInt(1)} rows", f"Check that {', '.join(keys)} identify each row of the remote table.")
+    met = found.getInt(1)
+    found.close()
+    if met != asked:
+        raise RowCountMismatch(f"{asked} changes meet {met} rows", f"Check that {', '.join(keys)} identify each row of the remote table.")
 
 
 def update_remote(spark: SparkSession, table: ForeignTable, changes: DataFrame, user: UserMapping | None = None) -> int:

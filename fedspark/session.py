@@ -87,7 +87,7 @@ class Session:
             c.commit()
         except Exception as e:
             c.rollback()
-            raise (e if isinstance(e, FederationError) else from_remote(e)) from e
+            raise (from_remote(e) if hasattr(e, "java_exception") else e)
         finally:
             self._changing = False
             c.setAutoCommit(True)

@@ -21,11 +21,12 @@ def jdbc_options(table: ForeignTable, user: UserMapping | None) -> dict[str, str
     return options
 
 
-def remote_rows(spark: SparkSession, table: ForeignTable, user: UserMapping | None = None, partition: dict | None = None) -> DataFrame:
+def remote_rows(spark: SparkSession, table: ForeignTable, user: UserMapping | None = None, partition: dict | None = None, as_types: str | None = None) -> DataFrame:
     """The remote's rows under the remote's own names.
 
     Rows per round trip are the table's prefetch. partition: Spark's partitionColumn, lowerBound,
-    upperBound and numPartitions, to read a large table in parallel.
+    upperBound and numPartitions, to read a large table in parallel. as_types: types to read some
+    columns as, in Spark's customSchema.
     """
     options = jdbc_options(table, user)
     if not table.server.is_jdbc:
@@ -39,9 +40,21 @@ def remote_rows(spark: SparkSession, table: ForeignTable, user: UserMapping | No
             raise
     source = f"{table.remote} q" if table.is_query else table.remote
     reader = spark.read.format("jdbc").options(**options, dbtable=source, fetchsize=str(table.effective()["prefetch"]))
+    if as_types:
+        reader = reader.option("customSchema", as_types)
     return (reader.options(**{k: str(v) for k, v in partition.items()}) if partition else reader).load()
 
 
+_WHOLE = (T.ShortType, T.IntegerType, T.LongType)
+
+
+def _narrower(remote: DataFrame, columns: tuple[Column, ...]) -> str | None:
+    """Whole numbers are read as the declared type at once: a cast over the scan would keep filters local."""
+    live = [c for c in columns if not c.dropped]
+    pairs = [(f, c) for f, c in zip(remote.schema.fields, live) if f.dataType != c.type and isinstance(f.dataType, _WHOLE) and isinstance(c.type, _WHOLE)]
+    return ", ".join(f"`{f.name}` {c.type.simpleString()}" for f, c in pairs) or None
+
+
 def conform(remote: DataFrame, columns: tuple[Column, ...], used: set[str] | None = None) -> DataFrame:
     """remote with the declared columns, met by position.
 
@@ -70,6 +83,8 @@ def scan(spark: SparkSession, table: ForeignTable, user: UserMapping | None = No
     """A foreign table's rows. Nothing is read before an action; then Catalyst prunes columns and pushes
     filters and limits through the projection into the source."""
     rows = remote_rows(spark, table, user, partition)
+    if table.server.is_jdbc and (as_types := _narrower(rows, table.columns)):
+        rows = remote_rows(spark, table, user, partition, as_types)
     return conform(rows, table.columns, used) if table.columns else rows
 
 
