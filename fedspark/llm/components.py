@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Links up to which one task does a round (about 3 MB).
+_FEW = 200_000
+
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
     """node, root for every node of a link; root is the smallest node that links reach.
@@ -19,16 +22,19 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     """
     live = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     live = materialize(live.where("hi <> lo").distinct())
+    # few links are no work for many tasks: in one partition no step needs a shuffle
+    near = (lambda df: df.coalesce(1)) if live.count() <= _FEW else (lambda df: df)
+    live = near(live)
     nodes = live.select(F.col("hi").alias("node")).union(live.select("lo")).distinct()
     roots = nodes.select("node", F.col("node").alias("root"))
     for _ in range(max_rounds):
         if live.isEmpty():
-            return materialize(roots)
-        hooks = materialize(live.groupBy("hi").agg(F.min("lo").alias("to")))
+            return near(materialize(roots))
+        hooks = near(materialize(live.groupBy("hi").agg(F.min("lo").alias("to"))))
         x, y = hooks.select(F.col("hi").alias("x"), F.col("to").alias("x_to")), hooks.select(F.col("hi").alias("y"), F.col("to").alias("y_to"))
         moved = live.join(x, F.col("hi") == F.col("x")).join(y, F.col("lo") == F.col("y"), "left")
         moved = moved.select(F.col("x_to").alias("p"), F.coalesce("y_to", "lo").alias("q"))
-        live = materialize(moved.where("p <> q").select(F.greatest("p", "q").alias("hi"), F.least("p", "q").alias("lo")).distinct())
+        live = near(materialize(moved.where("p <> q").select(F.greatest("p", "q").alias("hi"), F.least("p", "q").alias("lo")).distinct()))
         step = hooks.select(F.col("hi").alias("root"), "to")
-        roots = materialize(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        roots = near(materialize(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))))
     raise RuntimeError(f"links left after {max_rounds} rounds")
