@@ -40,8 +40,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: ids and round trip of every document that is left."""
-    return bpe.digests(docs, queries.WORD_TOKENIZER)
+    """Operator 2: ids and round trip of every document that is left. Fewer words are remembered than in the
+    query: a pipeline's workers share their executor with the stages around."""
+    return bpe.digests(docs, queries.WORD_TOKENIZER, cache_words=30_000)
 
 
 STAGES = [("language_id", known_language), ("line_dedup", distinct_lines), ("simhash_near_dedup", distinct_documents), ("mixing", mixed), ("bpe", encoded)]

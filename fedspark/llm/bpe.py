@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready_for_python
+from .common import give_back, ready_for_python
 
 _NONE = 1 << 60
 _SHIFT = 21
@@ -55,17 +55,23 @@ class MergeTable:
         #: Pair of ids to rank and made id, each packed into one integer.
         self.pairs: dict[int, int] = {}
         width = dict.fromkeys([x for x in (*self.inner, *self.last) if x is not None], 1)
-        spine: dict[int, frozenset[int]] = {x: frozenset([x]) for x in width}
+        #: Left parts of the rules that make a token: the next steps down its left spine.
+        lefts: dict[int, tuple[int, ...]] = {}
         reach: dict[int, int] = {}
         self.lookahead = 1
         for rank, (left, right) in enumerate(merges):
             u, v, made = vocab[left], vocab[right], vocab[left + right]
-            far = width[u] + max((reach.get(x, 0) for x in spine[v]), default=0)
+            far, spine = 0, [v]
+            while spine:
+                x = spine.pop()
+                far = max(far, reach.get(x, 0))
+                spine += lefts.get(x, ())
+            far += width[u]
             reach[u] = max(reach.get(u, 0), far)
             self.lookahead = max(self.lookahead, far)
             self.pairs.setdefault((u << _SHIFT) | v, (rank << _SHIFT) | made)
             width[made] = width[u] + width[v]
-            spine[made] = spine.get(made, frozenset()) | spine[u] | {made}
+            lefts[made] = (*lefts.get(made, ()), u)
         self.longest = max(width.values(), default=1)
         self.window = max(256, 2 * (self.lookahead + self.longest))
         self.width = width
@@ -144,7 +150,9 @@ class Transducer:
         model = spec["model"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.table = MergeTable(model["vocab"], merges, model.get("end_of_word_suffix") or "")
-        library = Tokenizer.from_file(path)
+        # only for the normalizer and the pre-tokenizer: the library needs no vocabulary for these
+        bare = {**spec, "added_tokens": [], "model": {**model, "vocab": {}, "merges": [], "unk_token": None}}
+        library = Tokenizer.from_str(json.dumps(bare))
         self.normalizer, self.pre = library.normalizer, library.pre_tokenizer
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split = re.compile("|".join(sorted(map(re.escape, self.special), key=len, reverse=True))) if self.special else None
@@ -251,10 +259,11 @@ class Transducer:
 _loaded: dict[str, Transducer] = {}
 
 
-def load(path: str) -> Transducer:
+def load(path: str, cache_words: int = 250_000) -> Transducer:
     """One transducer a file and process."""
     if path not in _loaded:
-        _loaded[path] = Transducer(path)
+        _loaded[path] = Transducer(path, cache_words)
+    _loaded[path].cache_words = cache_words
     return _loaded[path]
 
 
@@ -280,18 +289,20 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "token_ids", text: str =
     return docs.withColumn(text, run(F.col(ids)))
 
 
-def digests(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", cache_words: int = 250_000) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row, repeated rows and null ids included.
-    An empty or null text has 0 tokens and the hash of no bytes."""
+    cache_words bounds the words whose tokens a worker remembers (twice that, 0.4 KB each). An empty or null text has 0 tokens and the hash of no bytes."""
     ready_for_python(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches):
-        engine = load(tokenizer)
+        engine = load(tokenizer, cache_words)
         for batch in batches:
             found = [engine.digest(x.as_py()) for x in batch.column(1)]
             n, a, b = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        engine.young, engine.old = {}, {}
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

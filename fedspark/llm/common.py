@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -50,3 +51,18 @@ def ready_for_python(spark: SparkSession, batch_rows: int = 512) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def give_back() -> None:
+    """Returns a Python worker's free memory to the system. Workers live on after a task, beside whatever
+    their executor runs next."""
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only glibc has it
+        pass

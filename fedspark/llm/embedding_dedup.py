@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ready_for_python
+from .common import give_back, materialize, ready_for_python
 from .components import connected_components
 from .runs import sorted_runs
 
@@ -71,6 +71,7 @@ def _with_codes(reps: DataFrame, passes: int, prefix: int, seed: int) -> DataFra
                 for k, row in enumerate(at):
                     units[row], codes[row], leads[row] = v[k].tobytes(), signed[k].tolist(), lead[k].tobytes()
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("n"), batch.column("label"), pa.array(units, pa.binary()), pa.array(codes, pa.list_(pa.int64())), pa.array(leads, pa.binary())], ["uid", "n", "label", "vec", "codes", "leads"])
+        give_back()
 
     return reps.mapInArrow(run, "uid long, n long, label string, vec binary, codes array<long>, leads binary")
 
@@ -143,6 +144,7 @@ def _scan(passes: int, similarity: float, most: int):
             for dim in np.unique(dims):
                 rows = pa.array(np.repeat(dims == dim, lengths))
                 yield from _compare(table.filter(rows).to_pydict(), lengths[dims == dim], passes, similarity)
+        give_back()
 
     return run
 
@@ -186,7 +188,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     p = 1 - acos(similarity) / pi: over 0.9999 as set.
     """
     spark = vectors.sparkSession
-    ready_for_python(spark, 4096)
+    ready_for_python(spark, 2048)
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(embedding).alias("vec"))
     kind = dict(rows.dtypes)["vec_id"]
     packed = materialize(_packed(rows, f"vec_id {kind}, label string, vec binary"))

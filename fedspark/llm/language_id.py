@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready_for_python
+from .common import give_back, ready_for_python
 
 #: Language codes by family. A code that isn't here is a family of its own.
 FAMILIES = {
@@ -183,6 +183,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         for batch in batches:
             found = [counts(x.as_py()).astype(np.float32).tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["lang", "x"])
+        give_back()
 
     picked = None
     pool = rows.where(near).select("lang", "text", draw.alias("draw"), "id")
@@ -203,9 +204,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ready_for_python(spark)
     sent = spark.sparkContext.broadcast(model)  # of fixed width: 8,193 rows, a column a machine
 
-    @F.udf("struct<lang:string,score:double>", useArrow=True)
-    def run(value):
-        return sent.value.predict(value)
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def run(values: pa.Array) -> pa.Array:
+        found = [sent.value.predict(x.as_py()) for x in values]
+        give_back()
+        return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["lang", "score"])
 
     names = docs.columns
     out = docs.withColumn("__found", run(F.col(text)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import load
-from .common import ready_for_python
+from .common import give_back, ready_for_python
 
 #: Fixed value: the split pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -183,5 +183,7 @@ def count_with_edits(docs: DataFrame, tokenizer: str, edits: Callable[[str], lis
             found = [one(x.as_py() or "") for x in batch.column(1)]
             columns = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+        _counters.clear()
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{n} long" for n in names))
