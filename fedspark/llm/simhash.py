@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ready_for_python
+from .common import give_back, materialize, ready_for_python
 from .components import connected_components
 from .runs import sorted_runs
 
@@ -50,6 +50,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
         for batch in batches:
             fps = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, fp long")
 
@@ -104,6 +105,7 @@ def _scan(distance: int, most: int):
             if split:
                 n = len(fps)
                 yield pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), pa.nulls(n, pa.int64()), table.column("key").combine_chunks(), pa.array(np.full(n, part, np.int64))], ["a", "b", "key", "part"])
+        give_back()
 
     return run
 
