@@ -160,9 +160,10 @@ def line_classes(lines: DataFrame, k: int = 10, bands: int = 8, rows: int = 3, s
         return both.select("a", "b")
 
     def seated(roots: DataFrame) -> DataFrame:
-        """Buckets of three or more whose members are in different classes, with their number of members."""
+        """Buckets whose members are in different classes, with their number of members. The star doesn't
+        settle those of two: a line's least may be in another of its buckets."""
         now = crowd.join(roots, F.col("h1") == F.col("node"), "left").select("key", "h1", "least", "most", F.coalesce("root", "h1").alias("root"))
-        size = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where("r1 <> r2 and n > 2").select("key", "n")
+        size = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where("r1 <> r2").select("key", "n")
         return materialize(now.join(size, "key"))
 
     star = wanted.where("h1 <> first").select(F.col("h1").alias("a"), F.col("first").alias("b"))

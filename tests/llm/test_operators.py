@@ -326,6 +326,17 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_line_dedup_compares_buckets_of_two(spark):
+    r, texts = random.Random(8), []
+    for _ in range(150):  # a line, a near copy of it and one of its template, of which any may have the least hash
+        words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(30)]
+        near = words[:-1] + ["changed"]
+        template = words[:16] + ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(14)]
+        texts += [" ".join(words), " ".join(near), " ".join(template)]
+    got = {x["doc_id"]: x["__text"] for x in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_lines(texts)
+
+
 def test_line_dedup_treats_equal_rows_alike(spark):
     df = docs(spark, ["one line here\nanother line"])
     both = df.union(df).withColumnRenamed("lang", "pos").withColumnRenamed("source", "line")
