@@ -283,6 +283,26 @@ def test_template_text_is_left_out():
     assert html_extract.extract(make(9), wrapper) == "9 is new"
 
 
+def test_copies_and_siblings_are_no_template():
+    def wrapped(pages):
+        wrapper = None
+        for x in pages:
+            wrapper = html_extract.generalize(wrapper, html_extract.wrapper_of(html_extract.parse(x)))
+        return wrapper
+
+    plain = "<body><div class=text>The story</div><section>Its end</section></body>"
+    assert html_extract.extract(plain, wrapped([plain] * 6)) == "The story\n\nIts end"
+    lines = "<body>" + "<div>again</div>" * 5 + "</body>"
+    assert html_extract.extract(lines, wrapped([lines])) == "\n\n".join(["again"] * 5)
+    article = "<body><div class=box>Box</div><article><div>The story</div><address>A place</address></article></body>"
+    assert html_extract.extract(article, wrapped([article] * 6)) == "The story\n\nA place"
+    make = lambda n: f"<body><main><div>Everywhere</div><div class=text>{n} is new</div></main></body>"
+    assert html_extract.extract(make(3), wrapped(map(make, range(6)))) == "Everywhere\n\n3 is new"
+    box = lambda n: f"<body><div class=box>Same</div><div class=text>{n} is new</div></body>"
+    assert html_extract.extract(box(1), wrapped([box(n) for n in range(4)] * 3)) == "Same\n\n1 is new"  # four contents
+    assert html_extract.extract(box(1), wrapped([box(n) for n in range(5)] * 3)) == "1 is new"
+
+
 # ---- 7
 
 
