@@ -156,12 +156,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs without near-duplicates: of each group the document with the smallest id stays. Of repeated
-    rows with one id one stays; rows without an id stay, as nothing names them."""
-    found = materialize(near_duplicates(docs, doc_id, text, **options))
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(dropped, F.col(doc_id) == F.col("__dropped"), "left_anti")
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    return kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(kept.where(F.col(doc_id).isNull()))
+    """docs without near-duplicates: of each group one row stays, that of the smallest id (null last). Rows
+    go by id and a hash of the text, so rows that share an id but not a group are told apart, and rows
+    without an id take part. Of rows equal in both one stays."""
+    body = F.xxhash64(F.col(text))
+    name = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), body.alias("body"))
+    found = materialize(near_duplicates(docs.select(name.alias("name"), F.col(text).alias("text")), "name", "text", **options))
+    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = found.where(~same).select(F.col("doc_id.id").alias("__dropped"), F.col("doc_id.body").alias("__body")).distinct()
+    kept = docs.withColumn("__at", body).join(dropped, F.col(doc_id).eqNullSafe(F.col("__dropped")) & (F.col("__at") == F.col("__body")), "left_anti")
+    if not found.where(same).groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([doc_id, "__at"])
+    return kept.drop("__at")

@@ -399,6 +399,16 @@ def test_simhash(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_keep_one_of_repeated_and_missing_ids(spark):
+    text = lambda seed: " ".join(f"w{seed}x{k}" for k in range(40))
+    rows = [(2, text(1)), (5, text(1)), (5, text(2)), (5, text(2)), (5, text(3)), (None, text(4)), (None, text(4)), (None, text(3)), (None, text(5)), (7, None), (None, None)]
+    df = spark.createDataFrame([(k, t, "en", "a", len(t or "")) for k, t in rows], DOCS)
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns
+    want = [(2, text(1)), (5, text(2)), (5, text(3)), (None, text(4)), (None, text(5)), (7, None)]
+    assert sorted(((x["doc_id"], x["text"]) for x in out.collect()), key=str) == sorted(want, key=str)
+
+
 def test_simhash_parts_of_a_run(spark):
     r = random.Random(8)
     centre = r.getrandbits(64)
