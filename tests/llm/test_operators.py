@@ -481,3 +481,10 @@ def test_language_id_cases(spark):
     assert language_id.predictions(empty(spark)).count() == 0
     unlabelled = docs(spark, texts, lang=[None] * len(texts))
     assert {r["lang_pred"] for r in language_id.predictions(unlabelled).collect()} == {"und"}
+
+
+def test_language_id_learns_from_two_thousand(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "fit", lambda x, langs: langs)
+    df = spark.range(3200).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 2 = 0, 'en', 'de') as lang")
+    langs = language_id.train(df)
+    assert langs.count("en") == langs.count("de") == 1000
