@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import ctypes
 import os
-import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words of every contract: runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: The characters between words.
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,33 +21,81 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    set_already = spark.sparkContext.getCheckpointDir()
-    if set_already:
-        return set_already.rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fedspark-shared-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, as in tests,
+    one below the warehouse, which they share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+class Scratch:
+    """Tables that a run writes to the shared folder, so that later plans start from files that survive the
+    loss of executors. drop() and clear() delete what nothing needs any more; the rest goes when the
+    JVM ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/llm-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._fs(path, lambda fs, at: fs.deleteOnExit(at))
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def _fs(self, path: str, act) -> None:
+        sc = self.spark.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        act(at.getFileSystem(sc._jsc.hadoopConfiguration()), at)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes these tables; plans that read them can't run any more."""
+        for k, (df, path) in reversed(list(enumerate(self.held))):
+            if any(df is t for t in tables):
+                self._fs(path, lambda fs, at: fs.delete(at, True))
+                del self.held[k]
+
+    def clear(self, *but: DataFrame) -> None:
+        self.drop(*(df for df, _ in self.held if not any(df is t for t in but)))
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: later plans start from files that
-    survive the loss of executors. The files go when the JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def ready_for_python(spark: SparkSession, batch_rows: int = 512) -> None:
-    """Small Arrow batches, so that a batch of very long texts stays small, and this package's folder on
-    the workers' path where they run from the same files."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    """df as a table in the shared folder that stays until the JVM ends."""
+    return Scratch(df.sparkSession).keep(df)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put behind it until no column of df has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Settings of the session (dots as double underscores) for the actions in the block."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def ready_for_python(spark: SparkSession) -> None:
+    """This package's folder on the workers' path where they run from the same files, and Arrow batches that
+    are bounded by bytes, so that a batch of very long texts stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

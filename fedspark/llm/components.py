@@ -5,36 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch
 
 #: Links up to which one task does a round (about 3 MB).
 _FEW = 200_000
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
+def _chased(hooks: DataFrame, kept: Scratch, near) -> DataFrame:
+    """node, to, moved: every node of a forest (node, to) with the root of its tree. Paths halve with each
+    pass."""
+    now, left = hooks, True
+    while left:
+        ahead = near(now.select(F.col("node").alias("mid"), F.col("to").alias("far")))
+        then = kept.keep(near(near(now).join(ahead, F.col("to") == F.col("mid"), "left").select("node", F.coalesce("far", "to").alias("to"), F.col("far").isNotNull().alias("moved"))))
+        left = not then.where("moved").isEmpty()
+        kept.drop(now)
+        now = then
+    return now
+
+
+def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root for every node of a link; root is the smallest node that links reach.
 
-    Each round hooks every node to its smallest smaller neighbour, replaces both ends of each link by
-    what they hooked to and drops links within a node. Links shrink from round to round; each round is
-    written to the shared folder, so lineage stays short. A hub is no hot spot: its minimum is
-    combined before the shuffle. Nulls and self links are ignored, repeated links count once; no links
-    give an empty result.
+    Each round hooks every node to its smallest smaller neighbour, follows the hooks to the end of each
+    path by doubling, and puts these ends in place of the nodes of all links; links within a node go. A
+    round at least halves the nodes that still have links, so the rounds are logarithmic in the number of
+    nodes, and the passes of a round in the length of a path, whatever the graph; there is no limit of
+    rounds. Each table is written to the shared folder and deleted once the next one stands. A hub's
+    minimum is combined before the shuffle. Nulls and self links are ignored, repeated links count
+    once; no links give an empty result.
     """
+    kept = Scratch(links.sparkSession)
     live = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-    live = materialize(live.where("hi <> lo").distinct())
+    live = kept.keep(live.where("hi <> lo").distinct())
     # few links are no work for many tasks: in one partition no step needs a shuffle
     near = (lambda df: df.coalesce(1)) if live.count() <= _FEW else (lambda df: df)
-    live = near(live)
-    nodes = live.select(F.col("hi").alias("node")).union(live.select("lo")).distinct()
-    roots = nodes.select("node", F.col("node").alias("root"))
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            return near(materialize(roots))
-        hooks = near(materialize(live.groupBy("hi").agg(F.min("lo").alias("to"))))
-        x, y = hooks.select(F.col("hi").alias("x"), F.col("to").alias("x_to")), hooks.select(F.col("hi").alias("y"), F.col("to").alias("y_to"))
-        moved = live.join(x, F.col("hi") == F.col("x")).join(y, F.col("lo") == F.col("y"), "left")
-        moved = moved.select(F.col("x_to").alias("p"), F.coalesce("y_to", "lo").alias("q"))
-        live = near(materialize(moved.where("p <> q").select(F.greatest("p", "q").alias("hi"), F.least("p", "q").alias("lo")).distinct()))
-        step = hooks.select(F.col("hi").alias("root"), "to")
-        roots = near(materialize(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))))
-    raise RuntimeError(f"links left after {max_rounds} rounds")
+    roots = None
+    while not live.isEmpty():
+        hooks = kept.keep(near(live).groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("to")))
+        table = _chased(hooks, kept, near)
+        ends = near(table.select("node", "to"))
+        x, y = ends.select(F.col("node").alias("x"), F.col("to").alias("p")), ends.select(F.col("node").alias("y"), F.col("to").alias("q"))
+        if roots is None:
+            ends_of = near(live).select("lo").distinct().join(y, F.col("lo") == F.col("y"), "left_anti").select(F.col("lo").alias("node"), F.col("lo").alias("root"))
+            then = kept.keep(near(ends.select("node", F.col("to").alias("root")).union(ends_of)))
+        else:
+            then = kept.keep(near(near(roots).join(x, F.col("root") == F.col("x"), "left").select("node", F.coalesce("p", "root").alias("root"))))
+        moved = near(live).join(x, F.col("hi") == F.col("x")).join(y, F.col("lo") == F.col("y"), "left").select("p", F.coalesce("q", "lo").alias("q"))
+        left = kept.keep(near(moved.where("p <> q").select(F.greatest("p", "q").alias("hi"), F.least("p", "q").alias("lo")).distinct()))
+        kept.drop(live, table, *([] if roots is None else [roots]))
+        live, roots = left, then
+    if roots is None:
+        return live.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
+    kept.drop(live)
+    return roots
+
+
+def merged_components(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after more links (a, b): only what the links join is worked on."""
+    ra = roots.select(F.col("node").alias("na"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("nb"), F.col("root").alias("rb"))
+    ends = links.join(ra, F.col("a") == F.col("na"), "left").join(rb, F.col("b") == F.col("nb"), "left")
+    ends = ends.select("a", "b", F.coalesce("ra", "a").alias("p"), F.coalesce("rb", "b").alias("q"))
+    moves = connected_components(ends, "p", "q").select(F.col("node").alias("was"), F.col("root").alias("now"))
+    every = roots.union(links.select("a", "a")).union(links.select("b", "b")).groupBy("node").agg(F.min("root").alias("root"))
+    return Scratch(roots.sparkSession).keep(every.join(moves, F.col("root") == F.col("was"), "left").select("node", F.coalesce("now", "root").alias("root")))

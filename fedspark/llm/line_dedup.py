@@ -1,9 +1,9 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, high-recall banding, exact Jaccard
 verification, then connected components that keep one line each. DataFrame operations only.
 
-Lines go by a 64-bit hash, paired with an independent second one wherever the table holds all
-lines, so that different lines meet neither by chance nor by design of one hash. Shingles are
-counted in UTF-8 bytes, which a binary column can cut in constant time.
+Equal lines are merged first, by two independent 64-bit hashes, so each different line is shingled
+once. Shingles are counted in UTF-8 bytes, which a binary column can cut in constant time. Lines that
+share a band get a number of their own, and all further work is on these.
 """
 
 from __future__ import annotations
@@ -11,118 +11,85 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .components import connected_components
+from .common import SPACES, Scratch, fresh, settings
+from .components import connected_components, merged_components
 
 #: Positions of one line that are exploded at a time.
 _CHUNK = 65_536
-#: Rows up to which the hashes of candidate lines, or documents with their dropped positions, are broadcast
-#: (about 32 and 64 MB): beside them the texts needn't be shuffled.
-_MOST_IDS, _MOST_DROPS = 2_000_000, 500_000
+#: Rows (of up to 40 bytes) up to which a table is broadcast; beyond, the same join shuffles.
+_MOST_SENT = 1_000_000
 #: Longs of marks for a line: enough to tell lines of up to some thousand shingles apart.
 _WORDS = 32
-#: Longs of the wider marks for lines of large buckets that stay mixed, and what makes a bucket large.
-_WIDE, _LARGE = 256, 64
+#: Pivots of a bucket in the first round, and by what they grow from round to round.
+_PIVOTS, _GROWTH = 4, 4
 
 
-def _id(line: Column) -> Column:
-    """128 bits of a line, as a decimal-free pair."""
-    return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
+def _blank(line: str) -> Column:
+    return F.ltrim(line, F.lit(SPACES)) == ""
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, body (hash of the text), pos, line for all lines that hold more than white space."""
     rows = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("body"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))
-    return rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.where(~_blank("line"))
 
 
-def _n_shingles(binary: str, k: int) -> Column:
-    return F.greatest(F.octet_length(binary) - k + 1, F.lit(1))
+def _hashed(lines: DataFrame, *more: str) -> DataFrame:
+    return lines.select(*more, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _band_keys(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """h1, key: a row for each band of each different line.
+def _shingled(lines: DataFrame, ids: list[str], k: int) -> DataFrame:
+    """ids and h: the hash of each shingle, repeats included. A line shorter than a shingle is its own."""
+    bins = lines.select(*ids, F.col("line").cast("binary").alias("bin")).withColumn("last", F.greatest(F.octet_length("bin") - k, F.lit(0)))
+    chunks = bins.select(*ids, "bin", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(_CHUNK))).alias("from"))
+    each = chunks.select(*ids, "bin", F.explode(F.sequence("from", F.least(F.col("from") + F.lit(_CHUNK - 1), "last"))).alias("at"))
+    return each.select(*ids, F.xxhash64(F.substring("bin", F.col("at") + 1, F.lit(k))).alias("h"))
 
-    Shingles are exploded and hashed once, and their hashes deal them out to the bands: a band's rows
-    are the least of its shingles' hashes under one of several flips of high bits. Bands share no
-    shingle, so they hit or miss independently, and each shingle updates the minima of one band only. A
-    band without a shingle has no key; a line has at least one band. Minima are combined before the
-    shuffle.
-    """
-    bins = lines.select(_id(F.col("line")).alias("id"), F.col("line").cast("binary").alias("bin"))
-    bins = bins.select("id.h1", "id.h2", "bin", (_n_shingles("bin", k) - 1).alias("last"))
-    chunks = bins.select("h1", "h2", "bin", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(_CHUNK))).alias("from"))
-    each = chunks.select("h1", "h2", "bin", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + F.lit(_CHUNK - 1), F.col("last")))).alias("at"))
-    hashed = each.select("h1", "h2", F.xxhash64(F.substring(F.col("bin"), F.col("at") + 1, F.lit(k))).alias("h"))
-    split = hashed.select("h1", "h2", F.pmod(F.shiftrightunsigned("h", 33), F.lit(bands)).cast("int").alias("band"), F.shiftright(F.shiftleft("h", 32), 32).cast("int").alias("x"))
-    step = (1 << 32) // rows
-    mins = [F.expr(f"min(x ^ cast({j * step - (1 << 31)} as int)) filter (where band = {b}) as m{b}_{j}") for b in range(bands) for j in range(rows)]
-    least = split.groupBy("h1", "h2").agg(*mins)
-    keys = [F.when(F.col(f"m{b}_0").isNotNull(), F.xxhash64(F.lit(b), *(F.col(f"m{b}_{j}") for j in range(rows)))) for b in range(bands)]
-    return least.select("h1", F.explode(F.array_compact(F.array(*keys))).alias("key"))
 
+def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """h1, h2, n (occurrences), b0, b1 and so on (a key for each band) for each different line.
 
-def _wide(texts: DataFrame, k: int) -> DataFrame:
-    """id, wide: the set of shingles as marks in an array of 256 longs."""
-    h = texts.select("id", F.explode(_shingles(F.col("line"), k)).alias("h"))
-    h = h.select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WIDE - 1} as int)").alias("word"))
-    words = h.groupBy("id", "word").agg(F.bit_or("bit").alias("bits"))
-    found = words.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
-    return found.select("id", F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0))).alias("wide"))
+    Equal lines are merged before and after one shuffle of the text by hash; all else stays where it then
+    is. A shingle's hash deals it to one band, and the band's rows are the least of its shingles'
+    hashes under one of several flips of high bits: bands share no shingle, so they hit or miss
+    independently. A band without a shingle has no key; a line has at least one band.
+    """
+    whole = _hashed(lines, "line").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"))
+    h = _shingled(whole, ["h1", "h2", "n"], k)
+    dealt = h.select("h1", "h2", "n", F.pmod(F.shiftrightunsigned("h", 33), F.lit(bands)).cast("int").alias("band"), F.shiftright(F.shiftleft("h", 32), 32).cast("int").alias("x"))
+    step = (1 << 32) // rows
+    least = dealt.groupBy("h1", "h2", "band").agg(F.max("n").alias("n"), *(F.expr(f"min(x ^ cast({j * step - (1 << 31)} as int))").alias(f"m{j}") for j in range(rows)))
+    keys = least.select("h1", "h2", "n", "band", F.xxhash64("band", *(f"m{j}" for j in range(rows))).alias("key"))
+    return keys.groupBy("h1", "h2").agg(F.max("n").alias("n"), *(F.expr(f"max(key) filter (where band = {b})").alias(f"b{b}") for b in range(bands)))
 
 
-def _sent(small: DataFrame, most: int) -> DataFrame:
-    """small, to be broadcast if it has at most so many rows; a larger one is joined by a shuffle."""
-    return F.broadcast(small) if small.count() <= most else small
+def _sent(small: DataFrame) -> DataFrame:
+    """small, to be broadcast if it has at most _MOST_SENT rows; a larger one is joined by a shuffle."""
+    return F.broadcast(small) if small.count() <= _MOST_SENT else small
 
 
-def _shingles(line: Column, k: int) -> Column:
-    """The set of a line's shingles. The outer transform, of one element, hands the bytes to the inner one
+def _shingles(line: str, k: int) -> Column:
+    """The hashes of a line's shingles. The outer transform, of one element, hands the bytes to the inner one
     as a variable; as a column they would be copied for each shingle."""
     places = F.sequence(F.lit(1), F.greatest(F.octet_length(line) - k + 1, F.lit(1)))
-    each = F.transform(F.array(line.cast("binary")), lambda whole: F.transform(places, lambda i: F.xxhash64(F.substring(whole, i, F.lit(k)))))
-    return F.array_distinct(F.element_at(each, 1))
-
-
-def _wide(texts: DataFrame, k: int) -> DataFrame:
-    """id, wide: the set of shingles as marks in an array of 256 longs."""
-    h = texts.select("id", F.explode(_shingles(F.col("line"), k)).alias("h"))
-    h = h.select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WIDE - 1} as int)").alias("word"))
-    words = h.groupBy("id", "word").agg(F.bit_or("bit").alias("bits"))
-    found = words.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
-    return found.select("id", F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0))).alias("wide"))
-
-
-def _sent(small: DataFrame, most: int) -> DataFrame:
-    """small, to be broadcast if it has at most so many rows; a larger one is joined by a shuffle."""
-    return F.broadcast(small) if small.count() <= most else small
-
-
-def _shingles(line: Column, k: int) -> Column:
-    binary = line.cast("binary")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(line) - k + 1, F.lit(1))), lambda i: F.xxhash64(F.substring(binary, i, F.lit(k)))))
+    each = F.transform(F.array(F.col(line).cast("binary")), lambda whole: F.transform(places, lambda i: F.xxhash64(F.substring(whole, i, F.lit(k)))))
+    return F.element_at(each, 1)
 
 
 def _profiles(texts: DataFrame, k: int) -> DataFrame:
     """id, n (shingles, repeats counted), w0, w1 and so on: the set of shingles as marks in 2,048 bits."""
-    bins = texts.select("id", F.col("line").cast("binary").alias("bin")).withColumn("last", _n_shingles("bin", k) - 1)
-    chunks = bins.select("id", "bin", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(_CHUNK))).alias("from"))
-    each = chunks.select("id", "bin", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + F.lit(_CHUNK - 1), F.col("last")))).alias("at"))
-    h = each.select("id", F.xxhash64(F.substring(F.col("bin"), F.col("at") + 1, F.lit(k))).alias("h"))
+    h = _shingled(texts, ["id"], k)
     h = h.select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WORDS - 1} as int)").alias("word"))
-    marked = h.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *(F.expr(f"bit_or(bit) filter (where word = {i})").alias(f"w{i}") for i in range(_WORDS)))
+    words = h.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("bits"))
+    marked = words.groupBy("id").agg(F.sum("n").alias("n"), *(F.expr(f"max(bits) filter (where word = {i})").alias(f"w{i}") for i in range(_WORDS)))
     return marked.select("id", "n", *(F.coalesce(f"w{i}", F.lit(0)).alias(f"w{i}") for i in range(_WORDS)))
 
 
-def _may_reach(a: str, b: str, similarity: float) -> Column:
-    """False only for pairs that can't have the similarity: marks on one side alone stand for shingles on
-    one side alone, and of these there are too many."""
-    apart = sum((F.bit_count(F.col(f"{a}w{i}").bitwiseXOR(F.col(f"{b}w{i}"))) for i in range(_WORDS)), F.lit(0))
-    return _allows(apart, a, b, similarity)
-
-
-def _allows(apart: Column, a: str, b: str, similarity: float) -> Column:
-    return apart * (1 + similarity) <= (1 - similarity) * (F.col(f"{a}n") + F.col(f"{b}n")) + 1e-9
+def _may_reach(similarity: float) -> Column:
+    """False only for pairs of profiles x_, y_ that can't have the similarity: marks on one side alone stand
+    for shingles on one side alone, and of these there are too many."""
+    apart = sum((F.bit_count(F.col(f"x_w{i}").bitwiseXOR(F.col(f"y_w{i}"))) for i in range(_WORDS)), F.lit(0))
+    return apart * (1 + similarity) <= (1 - similarity) * (F.col("x_n") + F.col("y_n")) + 1e-9
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
@@ -131,108 +98,108 @@ def _side(df: DataFrame, name: str) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
     """Pairs (a, b) whose shingle sets have at least the given Jaccard similarity. texts: id, line."""
-    both = pairs.join(_side(texts, "x_"), F.col("a") == F.col("x_id")).join(_side(texts, "y_"), F.col("b") == F.col("y_id"))
-    sets = both.select("a", "b", _shingles(F.col("x_line"), k).alias("x"), _shingles(F.col("y_line"), k).alias("y"))
+    lines = texts.select("id", "line")
+    both = pairs.join(_side(lines, "x_"), F.col("a") == F.col("x_id")).join(_side(lines, "y_"), F.col("b") == F.col("y_id"))
+    sets = both.select("a", "b", F.array_distinct(_shingles("x_line", k)).alias("x"), F.array_distinct(_shingles("y_line", k)).alias("y"))
     sized = sets.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("shared"))
     return sized.where(F.col("shared") >= similarity * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
 
 
-def line_classes(lines: DataFrame, k: int = 10, bands: int = 8, rows: int = 3, similarity: float = 0.8) -> DataFrame:
-    """node, root (both h1 of lines): the lines that have near-equal others, with the least of their class.
+def _seated(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (key, id) with their root, of the buckets that hold different classes."""
+    now = members.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    mixed = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
+    return now.join(mixed, "key", "left_semi")
+
+
+def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8, rows: int = 3, similarity: float = 0.8) -> DataFrame:
+    """h1, h2, n, root: the lines that occur more than once (n) or have near-equal others. root names the
+    class of the latter and is null for the former.
 
-    Lines that share a band key are candidates. To find the classes, not all links are needed: first each
-    line is compared with the least line of all its buckets, then, where the classes of a large bucket
-    still differ, with its least and its greatest, then all members of a bucket that are in different
-    classes. Pairs that are in one class already are never made. A pair leaves its join only if marks of both shingle sets (2,048, then
-    16,384 for pairs of large buckets) allow the similarity, which they never deny wrongly. So every link within a
-    bucket counts, and what comes out of a join is little more than links.
+    Lines that share a band key are candidates. First each line is compared with the first line of one of
+    its buckets. Then, where a bucket holds different classes, rounds follow: up to 4, 16, 64 and so on of
+    its lines, of different classes, are pivots that all the bucket's lines of other classes are compared
+    with; then they leave the bucket, all their links in it being known. So every pair of a bucket is
+    compared unless it is in one class already, and the rounds end when each bucket is empty or of
+    one class. Pairs are made and weighed in one join, from which they only come out if marks of both
+    shingle sets (2,048 bits) allow the similarity, which they never deny wrongly; the exact check follows.
     """
-    dealt = _band_keys(lines, k, bands, rows).repartition("key")
-    least = dealt.groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most"))
-    crowd = materialize(dealt.join(least.where("least < most"), "key").select("key", "h1", "least", "most"))
-    wanted = materialize(crowd.groupBy("h1").agg(F.min("least").alias("first")))
-    ids = wanted.select("h1")
-    texts = materialize(lines.select(F.xxhash64("line").alias("id"), "line").join(_sent(ids, _MOST_IDS), F.col("id") == F.col("h1"), "left_semi").distinct())
-    profiles = materialize(_profiles(texts, k))
-
-    def near(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(_side(profiles, "x_"), F.col("a") == F.col("x_id")).join(_side(profiles, "y_"), (F.col("b") == F.col("y_id")) & _may_reach("x_", "y_", similarity))
-        return both.select("a", "b")
-
-    def seated(roots: DataFrame) -> DataFrame:
-        """Buckets whose members are in different classes, with their number of members. The star doesn't
-        settle those of two: a line's least may be in another of its buckets."""
-        now = crowd.join(roots, F.col("h1") == F.col("node"), "left").select("key", "h1", "least", "most", F.coalesce("root", "h1").alias("root"))
-        size = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where("r1 <> r2").select("key", "n")
-        return materialize(now.join(size, "key"))
-
-    star = wanted.where("h1 <> first").select(F.col("h1").alias("a"), F.col("first").alias("b"))
-    links = materialize(_verified(near(star), texts, k, similarity))
-    roots = connected_components(links)
-    open_ = seated(roots)
-    tried = star
-    for head in ("least", "most"):  # of each large bucket, where its class is another
-        large = open_.where(F.col("n") > _LARGE)
-        if large.isEmpty():
-            break
-        heads = large.where(F.col("h1") == F.col(head)).select(F.col("key").alias("k2"), F.col("h1").alias("b"), F.col("root").alias("rb"))
-        more = large.join(heads, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("rb"))).select(F.col("h1").alias("a"), "b").distinct()
-        more = materialize(near(more.join(tried, ["a", "b"], "left_anti")))
-        links = materialize(links.union(_verified(more, texts, k, similarity)))
-        roots, tried = connected_components(links), tried.union(more)
-        open_ = seated(roots)
-    # all that is left: within a bucket, each pair at the first key that both lines have
-    keys = open_.groupBy("h1").agg(F.sort_array(F.collect_set("key")).alias("keys")).withColumnRenamed("h1", "id")
-    members = open_.select("key", F.col("h1").alias("id"), "root", "n").withColumnRenamed("n", "size").join(keys, "id").join(profiles, "id")
-    differ = (F.col("x_key") == F.col("y_key")) & (F.col("x_id") > F.col("y_id")) & (F.col("x_root") != F.col("y_root"))
-    first = F.element_at(F.array_intersect("x_keys", "y_keys"), 1) == F.col("x_key")
-    marks = _may_reach("x_", "y_", similarity)
-
-    def pairs_of(rows: DataFrame, likely: Column) -> DataFrame:
-        return _side(rows, "x_").join(_side(rows, "y_"), differ & likely).select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
-
-    cross = pairs_of(materialize(members.where(F.col("size") <= _LARGE)), F.when(marks, first).otherwise(False))
-    large = open_.where(F.col("n") > _LARGE).select("h1").distinct()
-    if not large.isEmpty():
-        wide = _wide(texts.join(large, F.col("id") == F.col("h1"), "left_semi"), k)
-        apart = F.aggregate(F.zip_with("x_wide", "y_wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda sum_, v: sum_ + v)
-        likely = F.when(marks, F.when(first, _allows(apart, "x_", "y_", similarity)).otherwise(False)).otherwise(False)
-        cross = cross.union(pairs_of(materialize(members.where(F.col("size") > _LARGE).join(wide, "id")), likely))
-    last = materialize(_verified(materialize(cross.join(tried, ["a", "b"], "left_anti")), texts, k, similarity))
-    return roots if last.isEmpty() else connected_components(links.union(last))
+    keep = scratch.keep
+    with settings(lines.sparkSession, spark__sql__codegen__aggregate__map__twolevel__enabled="false"):
+        signed = keep(_signatures(lines, k, bands, rows))
+    dealt = signed.select("h1", "h2", F.explode(F.array_compact(F.array(*(f"b{b}" for b in range(bands))))).alias("key"))
+    shared = keep(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    crowd = keep(dealt.join(_sent(shared), "key").select("key", "h1", "h2"))
+    ids = keep(crowd.select("h1", "h2").distinct())
+    found = lines.select("line").join(_sent(ids), (F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2")))
+    texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    texts = keep(texts.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "line"))
+    with settings(lines.sparkSession, spark__sql__codegen__aggregate__map__twolevel__enabled="false"):
+        profiles = keep(_profiles(texts, k))
+    members = keep(crowd.join(texts.select("id", "h1", "h2"), ["h1", "h2"]).select("key", "id"))
+    scratch.drop(shared, crowd, ids)
+    may = _may_reach(similarity)
+
+    heads = members.groupBy("key").agg(F.min("id").alias("head"))
+    star = members.join(heads, "key").groupBy("id").agg(F.min("head").alias("head")).where("id <> head")
+    near = star.join(_side(profiles, "x_"), F.col("id") == F.col("x_id")).join(_side(profiles, "y_"), (F.col("head") == F.col("y_id")) & may)
+    links = keep(_verified(near.select(F.col("id").alias("a"), F.col("head").alias("b")), texts, k, similarity))
+    roots = keep(connected_components(links))
+    scratch.drop(links)
+    members, pivots_of = keep(_seated(members, roots)), _PIVOTS
+    while not members.isEmpty():
+        slot = F.pmod(F.xxhash64(F.lit(pivots_of), "root"), F.lit(pivots_of))
+        pivots = keep(members.groupBy("key", slot.alias("slot")).agg(F.min("id").alias("id")).join(members, ["key", "id"]).select("key", "id", "root"))
+        x, y = _side(members.join(profiles, "id"), "x_"), _side(pivots.join(profiles, "id"), "y_")
+        near = x.join(y, (F.col("x_key") == F.col("y_key")) & (F.col("x_root") != F.col("y_root")) & may)
+        near = near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b")).distinct()
+        links = keep(_verified(near, texts, k, similarity))
+        before = roots
+        roots = keep(merged_components(roots, links))
+        left = keep(_seated(members.select("key", "id").join(pivots.select("key", "id"), ["key", "id"], "left_anti"), roots))
+        scratch.drop(members, pivots, links, before)
+        members, pivots_of = left, pivots_of * _GROWTH
+    named = roots.join(texts.select("id", "h1", "h2"), F.col("node") == F.col("id")).select("h1", "h2", "root")
+    out = keep(signed.select("h1", "h2", "n").join(named, ["h1", "h2"], "left").where("n > 1 or root is not null"))
+    scratch.clear(out)
+    return out
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 10, bands: int = 8, rows: int = 3, similarity: float = 0.8) -> DataFrame:
     """docs with __text (the text without repeated lines), __lines and __kept (lines that hold more than
-    white space, before and after).
+    white space, before and after). Columns of docs with these names are replaced.
 
     Of each class of near-equal lines the first stays: least id (null last), then least position. Lines of
     white space stay. A line shorter than a shingle is its own shingle. Rows with equal id and text
-    are treated alike, as nothing tells them apart; a null text stays null with no lines.
+    are treated alike, as nothing tells them apart; a null text stays null with no lines. An empty
+    table gives no rows.
     """
-    docs_lines = _lines(docs, doc_id, text)
-    roots = line_classes(docs_lines, k, bands, rows, similarity)
-    every = materialize(docs_lines.select("doc", "body", "pos", _id(F.col("line")).alias("id")).select("doc", "body", "pos", "id.h1", "id.h2"))
-    # a class is named by the root's hash; lines alone in their class keep both of their own
-    seated = every.join(roots, F.col("h1") == F.col("node"), "left")
-    seated = seated.select("doc", "body", "pos", F.coalesce("root", "h1").alias("c1"), F.when(F.col("root").isNull(), F.col("h2")).alias("c2"))
+    scratch = Scratch(docs.sparkSession)
+    lines = _lines(docs, doc_id, text)
+    classes = line_classes(lines, scratch, k, bands, rows, similarity)
+    seated = _hashed(lines, "doc", "body", "pos").join(_sent(classes), ["h1", "h2"])
+    # a class is named by its root; a repeated line that is alone in its class by both its hashes
+    seated = scratch.keep(seated.select("doc", "body", "pos", F.coalesce("root", "h1").alias("c1"), F.when(F.col("root").isNull(), F.col("h2")).alias("c2")))
     order = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("body"), F.col("pos"))
-    firsts = seated.groupBy("c1", "c2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "first")
-    extra = seated.join(firsts, (F.col("c1") == F.col("k1")) & F.col("c2").eqNullSafe(F.col("k2"))).where(~order.eqNullSafe(F.col("first")))
-    drops = _sent(materialize(extra.groupBy(F.col("doc").alias("__doc"), F.col("body").alias("__at")).agg(F.collect_set("pos").alias("__drops"))), _MOST_DROPS)
-    keyed = docs.withColumns({"__body": F.xxhash64(F.col(text)), "__id": F.col(doc_id)})
-    out = keyed.join(drops, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__body") == F.col("__at")), "left")
-    out = out.withColumn("__split", F.split(F.col(text), "\n", -1))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__split") - 1), F.coalesce("__drops", F.array().cast("array<int>")))
-    full = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.filter("__split", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))))
-    kept_text = F.when(F.col("__drops").isNull(), F.col(text)).otherwise(F.array_join(F.transform(F.array_sort(stay), lambda i: F.get("__split", i)), "\n"))
-    out = out.withColumns({"__text": kept_text, "__lines": full.cast("long")})
-    out = out.withColumn("__kept", F.col("__lines") - F.coalesce(F.size("__drops"), F.lit(0)))
-    return out.select(*(docs[c] for c in docs.columns), "__text", "__lines", "__kept")
+    firsts = scratch.keep(seated.groupBy("c1", "c2").agg(F.min(order).alias("first")))
+    extra = seated.join(firsts.withColumnsRenamed({"c1": "k1", "c2": "k2"}), (F.col("c1") == F.col("k1")) & F.col("c2").eqNullSafe(F.col("k2"))).where(~order.eqNullSafe(F.col("first")))
+    at, key, body, own, dropped, parts = fresh(docs, "at", "key", "body", "own", "dropped", "parts")
+    drops = scratch.keep(extra.groupBy(F.col("doc").alias(key), F.col("body").alias(body)).agg(F.collect_set("pos").alias(dropped)))
+    scratch.clear(drops)
+    sizes = drops.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size(dropped)), F.lit(0)).alias("places")).first()
+    few = sizes["rows"] + sizes["places"] // 8 <= _MOST_SENT
+    out = docs.withColumns({at: F.xxhash64(F.col(text)), own: F.col(doc_id)})
+    out = out.join(F.broadcast(drops) if few else drops, F.col(own).eqNullSafe(F.col(key)) & (F.col(at) == F.col(body)), "left")
+    out = out.withColumn(parts, F.split(F.col(text), "\n", -1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.coalesce(dropped, F.array().cast("array<int>")))
+    full = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.filter(parts, lambda x: F.ltrim(x, F.lit(SPACES)) != "")))
+    kept_text = F.when(F.col(dropped).isNull(), F.col(text)).otherwise(F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(parts, i)), "\n"))
+    added = {"__text": kept_text, "__lines": full.cast("long"), "__kept": full.cast("long") - F.coalesce(F.size(dropped), F.lit(0))}
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), *(v.alias(c) for c, v in added.items()))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with repeated lines taken out of the text. Documents of which nothing is left go; those that
-    held no line from the start stay."""
+    held no line from the start stay. Columns named __text, __lines or __kept are not carried."""
     out = dedup_lines(docs, doc_id, text, **options).where("__kept > 0 or __lines = 0")
-    return out.select(*(F.col("__text").alias(c) if c == text else F.col(c) for c in docs.columns))
+    return out.select(*(F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in ("__text", "__lines", "__kept")))
