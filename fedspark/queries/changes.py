@@ -26,14 +26,11 @@ def dml_update_pk_change(t: Tables):
     return update(t.nation, changes, ["n_nationkey"], new_keys={"n_nationkey": "new_key"}).table
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 49 THEN 0.0e0 ELSE l_discount + 0.0e0 END AS l_discount FROM
-    (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) x WHERE n = 1""")
+@query("SELECT o_custkey, o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 0.0e0 ELSE o_totalprice END AS o_totalprice FROM orders")
 def dml_update_composite(t: Tables):
-    keys = ["l_orderkey", "l_linenumber"]
-    once = t.lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.first("l_quantity").alias("q"), F.first("l_discount").alias("l_discount")).where("n = 1")
-    table = once.select(*keys, (F.col("l_discount") + 0.0).alias("l_discount"))
-    changes = once.where("q > 49").select(*keys, F.lit(0.0).alias("l_discount"))
-    return update(table, changes, keys).table
+    keys = ["o_custkey", "o_orderkey"]
+    changes = t.orders.where("o_orderpriority LIKE '1%'").select(*keys, F.lit(0.0).alias("o_totalprice"))
+    return update(t.orders.select(*keys, "o_totalprice"), changes, keys).table
 
 
 @query("SELECT n_nationkey, lower(n_name) AS n_name, n_regionkey FROM nation WHERE n_regionkey = 1")

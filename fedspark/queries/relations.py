@@ -37,26 +37,26 @@ def join_self(t: Tables):
 
 
 def _outer(t: Tables, how: str):
-    customers, orders = t.customer.where("c_custkey % 3 = 0"), t.orders.where("o_totalprice > 250000")
-    return customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), how)
+    on = (F.col("c_custkey") == F.col("o_custkey")) & (F.col("o_totalprice") > 250000)
+    return t.customer.join(t.orders, on, how).select("c_custkey", "o_orderkey")
 
 
-_SIDES = "(SELECT * FROM customer WHERE c_custkey % 3 = 0) c {} JOIN (SELECT * FROM orders WHERE o_totalprice > 250000) o ON c_custkey = o_custkey"
+_OUTER = "SELECT c_custkey, o_orderkey FROM customer {} JOIN orders ON c_custkey = o_custkey AND o_totalprice > 250000"
 
 
-@query("SELECT c_custkey, o_orderkey FROM " + _SIDES.format("LEFT"))
+@query(_OUTER.format("LEFT"))
 def join_left(t: Tables):
-    return _outer(t, "left").select("c_custkey", "o_orderkey")
+    return _outer(t, "left")
 
 
-@query("SELECT c_custkey, o_orderkey FROM " + _SIDES.format("RIGHT"))
+@query(_OUTER.format("RIGHT"))
 def join_right(t: Tables):
-    return _outer(t, "right").select("c_custkey", "o_orderkey")
+    return _outer(t, "right")
 
 
-@query("SELECT c_custkey, o_orderkey FROM " + _SIDES.format("FULL"))
+@query(_OUTER.format("FULL"))
 def join_full(t: Tables):
-    return _outer(t, "full").select("c_custkey", "o_orderkey")
+    return _outer(t, "full")
 
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 250000)")
@@ -74,10 +74,10 @@ def join_cross(t: Tables):
     return t.region.crossJoin(t.nation).select("r_name", "n_name")  # tables of fixed size
 
 
-@query("SELECT c.c_custkey, o.o_orderkey FROM (SELECT c_custkey, nullif(c_nationkey, 3) k FROM customer) c JOIN (SELECT o_orderkey, nullif(o_custkey % 25, 3) k FROM orders WHERE o_orderkey % 97 = 0) o ON c.k IS NOT DISTINCT FROM o.k")
+@query("SELECT c.c_custkey, o.o_orderkey FROM (SELECT c_custkey, nullif(c_custkey, 3) k FROM customer) c JOIN (SELECT o_orderkey, nullif(o_custkey, 3) k FROM orders) o ON c.k IS NOT DISTINCT FROM o.k")
 def join_null_safe(t: Tables):
-    c = t.customer.select("c_custkey", F.nullif(F.col("c_nationkey").cast("long"), F.lit(3)).alias("ck"))
-    o = t.orders.where("o_orderkey % 97 = 0").select("o_orderkey", F.nullif(F.col("o_custkey") % 25, F.lit(3)).alias("ok"))
+    c = t.customer.select("c_custkey", F.nullif(F.col("c_custkey"), F.lit(3)).alias("ck"))
+    o = t.orders.select("o_orderkey", F.nullif(F.col("o_custkey"), F.lit(3)).alias("ok"))
     return c.join(o, F.col("ck").eqNullSafe(F.col("ok"))).select("c_custkey", "o_orderkey")
 
 
@@ -144,9 +144,12 @@ def limit_offset(t: Tables):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey").offset(20).limit(7)
 
 
-@query("SELECT c_custkey, c_name FROM customer ORDER BY c_name DESC, c_custkey LIMIT 12")
+@query("SELECT c_custkey, c_name, CAST(row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_name DESC, c_custkey) AS BIGINT) AS place FROM customer")
 def order_text(t: Tables):
-    return t.customer.select("c_custkey", "c_name").orderBy(F.col("c_name").desc(), "c_custkey").limit(12)
+    from pyspark.sql import Window
+
+    by = Window.partitionBy("c_nationkey", "c_mktsegment").orderBy(F.col("c_name").desc(), "c_custkey")
+    return t.customer.select("c_custkey", "c_name", F.row_number().over(by).cast("long").alias("place"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) * 1.9 FROM orders)")
@@ -164,9 +167,9 @@ def subquery_exists(t: Tables):
     return t.view("part", "lineitem").sql("SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 49)")
 
 
-@query("SELECT o_orderkey, (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS name FROM orders WHERE o_orderkey < 500")
+@query("SELECT o_orderkey, (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS name FROM orders")
 def subquery_correlated(t: Tables):
-    return t.view("orders", "customer").sql("SELECT o_orderkey, (SELECT max(c_name) FROM customer WHERE c_custkey = o_custkey) AS name FROM orders WHERE o_orderkey < 500")
+    return t.view("orders", "customer").sql("SELECT o_orderkey, (SELECT max(c_name) FROM customer WHERE c_custkey = o_custkey) AS name FROM orders")
 
 
 @query("WITH big AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 15) SELECT c_name, CAST(n AS BIGINT) AS n FROM big JOIN customer ON c_custkey = o_custkey")
