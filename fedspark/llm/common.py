@@ -8,7 +8,8 @@ import uuid
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Words of every contract: runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +47,12 @@ class Scratch:
         self.held.append((out, path))
         return out
 
+    def counted(self, df: DataFrame, **sums: Column) -> tuple[DataFrame, dict]:
+        """The kept table, and its number of rows (n) and other sums, observed while it is written."""
+        seen = Observation()
+        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n"), *(v.alias(k) for k, v in sums.items())))
+        return out, seen.get
+
     def _fs(self, path: str, act) -> None:
         sc = self.spark.sparkContext
         at = sc._jvm.org.apache.hadoop.fs.Path(path)

@@ -20,8 +20,9 @@ _CHUNK = 65_536
 _MOST_SENT = 1_000_000
 #: Longs of marks for a line: enough to tell lines of up to some thousand shingles apart.
 _WORDS = 32
-#: Pivots of a bucket in the first round, and by what they grow from round to round.
-_PIVOTS, _GROWTH = 4, 4
+#: Pivots of a bucket in the first round (of a bucket with no more lines, all), and by what they grow from
+#: round to round.
+_PIVOTS, _GROWTH = 16, 16
 
 
 def _blank(line: str) -> Column:
@@ -63,9 +64,10 @@ def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return keys.groupBy("h1", "h2").agg(F.max("n").alias("n"), *(F.expr(f"max(key) filter (where band = {b})").alias(f"b{b}") for b in range(bands)))
 
 
-def _sent(small: DataFrame) -> DataFrame:
-    """small, to be broadcast if it has at most _MOST_SENT rows; a larger one is joined by a shuffle."""
-    return F.broadcast(small) if small.count() <= _MOST_SENT else small
+def _sent(small: DataFrame, seen: dict) -> DataFrame:
+    """small, to be broadcast if it has at most _MOST_SENT rows (seen: n); a larger one is joined by a
+    shuffle."""
+    return F.broadcast(small) if seen["n"] <= _MOST_SENT else small
 
 
 def _shingles(line: str, k: int) -> Column:
@@ -77,18 +79,18 @@ def _shingles(line: str, k: int) -> Column:
 
 
 def _profiles(texts: DataFrame, k: int) -> DataFrame:
-    """id, n (shingles, repeats counted), w0, w1 and so on: the set of shingles as marks in 2,048 bits."""
+    """id, n (shingles, repeats counted), marks: the set of shingles as 2,048 bits in an array of longs."""
     h = _shingled(texts, ["id"], k)
     h = h.select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WORDS - 1} as int)").alias("word"))
     words = h.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("bits"))
-    marked = words.groupBy("id").agg(F.sum("n").alias("n"), *(F.expr(f"max(bits) filter (where word = {i})").alias(f"w{i}") for i in range(_WORDS)))
-    return marked.select("id", "n", *(F.coalesce(f"w{i}", F.lit(0)).alias(f"w{i}") for i in range(_WORDS)))
+    found = words.groupBy("id").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
+    return found.select("id", "n", F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0))).alias("marks"))
 
 
 def _may_reach(similarity: float) -> Column:
     """False only for pairs of profiles x_, y_ that can't have the similarity: marks on one side alone stand
     for shingles on one side alone, and of these there are too many."""
-    apart = sum((F.bit_count(F.col(f"x_w{i}").bitwiseXOR(F.col(f"y_w{i}"))) for i in range(_WORDS)), F.lit(0))
+    apart = F.aggregate(F.zip_with("x_marks", "y_marks", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, v: total + v)
     return apart * (1 + similarity) <= (1 - similarity) * (F.col("x_n") + F.col("y_n")) + 1e-9
 
 
@@ -97,19 +99,22 @@ def _side(df: DataFrame, name: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose shingle sets have at least the given Jaccard similarity. texts: id, line."""
+    """Pairs (a, b) whose shingle sets have at least the given Jaccard similarity. texts: id, line. Repeats
+    within a line are only looked for where they decide."""
     lines = texts.select("id", "line")
     both = pairs.join(_side(lines, "x_"), F.col("a") == F.col("x_id")).join(_side(lines, "y_"), F.col("b") == F.col("y_id"))
-    sets = both.select("a", "b", F.array_distinct(_shingles("x_line", k)).alias("x"), F.array_distinct(_shingles("y_line", k)).alias("y"))
-    sized = sets.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("shared"))
-    return sized.where(F.col("shared") >= similarity * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
+    sets = both.select("a", "b", _shingles("x_line", k).alias("x"), _shingles("y_line", k).alias("y"))
+    sized = sets.select("a", "b", "x", "y", F.size(F.array_intersect("x", "y")).alias("shared"))
+    reaches = lambda x, y: F.col("shared") >= similarity * (F.size(x) + F.size(y) - F.col("shared"))
+    return sized.where(F.when(reaches(F.col("x"), F.col("y")), True).otherwise(reaches(F.array_distinct("x"), F.array_distinct("y")))).select("a", "b")
 
 
 def _seated(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (key, id) with their root, of the buckets that hold different classes."""
+    """Members (key, id) with their root, and their number in the bucket (n), of the buckets that hold
+    different classes."""
     now = members.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    mixed = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
-    return now.join(mixed, "key", "left_semi")
+    mixed = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where("r1 <> r2").select("key", "n")
+    return now.join(mixed, "key")
 
 
 def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8, rows: int = 3, similarity: float = 0.8) -> DataFrame:
@@ -117,9 +122,10 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     class of the latter and is null for the former.
 
     Lines that share a band key are candidates. First each line is compared with the first line of one of
-    its buckets. Then, where a bucket holds different classes, rounds follow: up to 4, 16, 64 and so on of
-    its lines, of different classes, are pivots that all the bucket's lines of other classes are compared
-    with; then they leave the bucket, all their links in it being known. So every pair of a bucket is
+    its buckets. Then, where a bucket holds different classes, rounds follow: up to 16, 256 and so on of its
+    lines, of different classes, are pivots that all the bucket's lines of other classes are compared with
+    (where it has no more lines than that, all); then they leave the bucket, all their links in it being
+    known. So every pair of a bucket is
     compared unless it is in one class already, and the rounds end when each bucket is empty or of
     one class. Pairs are made and weighed in one join, from which they only come out if marks of both
     shingle sets (2,048 bits) allow the similarity, which they never deny wrongly; the exact check follows.
@@ -127,14 +133,13 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     keep = scratch.keep
     with settings(lines.sparkSession, spark__sql__codegen__aggregate__map__twolevel__enabled="false"):
         signed = keep(_signatures(lines, k, bands, rows))
-    dealt = signed.select("h1", "h2", F.explode(F.array_compact(F.array(*(f"b{b}" for b in range(bands))))).alias("key"))
-    shared = keep(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    crowd = keep(dealt.join(_sent(shared), "key").select("key", "h1", "h2"))
-    ids = keep(crowd.select("h1", "h2").distinct())
-    found = lines.select("line").join(_sent(ids), (F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2")))
-    texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    texts = keep(texts.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "line"))
-    with settings(lines.sparkSession, spark__sql__codegen__aggregate__map__twolevel__enabled="false"):
+        dealt = signed.select("h1", "h2", F.explode(F.array_compact(F.array(*(f"b{b}" for b in range(bands))))).alias("key"))
+        shared, seen = scratch.counted(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+        crowd = keep(dealt.join(_sent(shared, seen), "key").select("key", "h1", "h2"))
+        ids, seen = scratch.counted(crowd.select("h1", "h2").distinct())
+        found = lines.select("line").join(_sent(ids, seen), (F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2")))
+        texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+        texts = keep(texts.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "line"))
         profiles = keep(_profiles(texts, k))
     members = keep(crowd.join(texts.select("id", "h1", "h2"), ["h1", "h2"]).select("key", "id"))
     scratch.drop(shared, crowd, ids)
@@ -144,25 +149,33 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     star = members.join(heads, "key").groupBy("id").agg(F.min("head").alias("head")).where("id <> head")
     near = star.join(_side(profiles, "x_"), F.col("id") == F.col("x_id")).join(_side(profiles, "y_"), (F.col("head") == F.col("y_id")) & may)
     links = keep(_verified(near.select(F.col("id").alias("a"), F.col("head").alias("b")), texts, k, similarity))
-    roots = keep(connected_components(links))
+    roots = connected_components(links)
     scratch.drop(links)
-    members, pivots_of = keep(_seated(members, roots)), _PIVOTS
-    while not members.isEmpty():
-        slot = F.pmod(F.xxhash64(F.lit(pivots_of), "root"), F.lit(pivots_of))
-        pivots = keep(members.groupBy("key", slot.alias("slot")).agg(F.min("id").alias("id")).join(members, ["key", "id"]).select("key", "id", "root"))
-        x, y = _side(members.join(profiles, "id"), "x_"), _side(pivots.join(profiles, "id"), "y_")
+    (members, seen), most = scratch.counted(_seated(members, roots)), _PIVOTS
+    while seen["n"]:
+        slot = F.when(F.col("n") <= most, F.col("id")).otherwise(F.pmod(F.xxhash64(F.lit(most), "root"), F.lit(most)))
+        pivots = members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "root")).alias("pivot"))
+        pivots = keep(pivots.select("key", "pivot.id", "pivot.root"))
+        x, y = _side(members.drop("n").join(profiles, "id"), "x_"), _side(pivots.join(profiles, "id"), "y_")
         near = x.join(y, (F.col("x_key") == F.col("y_key")) & (F.col("x_root") != F.col("y_root")) & may)
-        near = near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b")).distinct()
-        links = keep(_verified(near, texts, k, similarity))
-        before = roots
+        near = keep(near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"), F.greatest("x_root", "y_root").alias("p"), F.least("x_root", "y_root").alias("q")).distinct())
+        # first one pair for each two classes, then those that this has not brought together
+        tried = keep(near.groupBy("p", "q").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b"))
+        links = keep(_verified(tried, texts, k, similarity))
         roots = keep(merged_components(roots, links))
-        left = keep(_seated(members.select("key", "id").join(pivots.select("key", "id"), ["key", "id"], "left_anti"), roots))
-        scratch.drop(members, pivots, links, before)
-        members, pivots_of = left, pivots_of * _GROWTH
+        one, two = (roots.select(F.col("node").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
+        apart = near.join(one, F.col("a") == F.col("na"), "left").join(two, F.col("b") == F.col("nb"), "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+        more, seen = scratch.counted(apart.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        if seen["n"]:
+            links = keep(_verified(more, texts, k, similarity))
+            roots = keep(merged_components(roots, links))
+        left, seen = scratch.counted(_seated(members.select("key", "id").join(pivots.select("key", "id"), ["key", "id"], "left_anti"), roots))
+        scratch.drop(members, pivots, near, tried, more, links)
+        members, most = left, most * _GROWTH
     named = roots.join(texts.select("id", "h1", "h2"), F.col("node") == F.col("id")).select("h1", "h2", "root")
-    out = keep(signed.select("h1", "h2", "n").join(named, ["h1", "h2"], "left").where("n > 1 or root is not null"))
+    out, seen = scratch.counted(signed.select("h1", "h2", "n").join(named, ["h1", "h2"], "left").where("n > 1 or root is not null"))
     scratch.clear(out)
-    return out
+    return _sent(out, seen)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 10, bands: int = 8, rows: int = 3, similarity: float = 0.8) -> DataFrame:
@@ -177,17 +190,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     scratch = Scratch(docs.sparkSession)
     lines = _lines(docs, doc_id, text)
     classes = line_classes(lines, scratch, k, bands, rows, similarity)
-    seated = _hashed(lines, "doc", "body", "pos").join(_sent(classes), ["h1", "h2"])
+    seated = _hashed(lines, "doc", "body", "pos").join(classes, ["h1", "h2"])
     # a class is named by its root; a repeated line that is alone in its class by both its hashes
     seated = scratch.keep(seated.select("doc", "body", "pos", F.coalesce("root", "h1").alias("c1"), F.when(F.col("root").isNull(), F.col("h2")).alias("c2")))
     order = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("body"), F.col("pos"))
     firsts = scratch.keep(seated.groupBy("c1", "c2").agg(F.min(order).alias("first")))
     extra = seated.join(firsts.withColumnsRenamed({"c1": "k1", "c2": "k2"}), (F.col("c1") == F.col("k1")) & F.col("c2").eqNullSafe(F.col("k2"))).where(~order.eqNullSafe(F.col("first")))
     at, key, body, own, dropped, parts = fresh(docs, "at", "key", "body", "own", "dropped", "parts")
-    drops = scratch.keep(extra.groupBy(F.col("doc").alias(key), F.col("body").alias(body)).agg(F.collect_set("pos").alias(dropped)))
+    drops, seen = scratch.counted(extra.groupBy(F.col("doc").alias(key), F.col("body").alias(body)).agg(F.collect_set("pos").alias(dropped)), places=F.sum(F.size(dropped)))
     scratch.clear(drops)
-    sizes = drops.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size(dropped)), F.lit(0)).alias("places")).first()
-    few = sizes["rows"] + sizes["places"] // 8 <= _MOST_SENT
+    few = seen["n"] + (seen["places"] or 0) // 8 <= _MOST_SENT
     out = docs.withColumns({at: F.xxhash64(F.col(text)), own: F.col(doc_id)})
     out = out.join(F.broadcast(drops) if few else drops, F.col(own).eqNullSafe(F.col(key)) & (F.col(at) == F.col(body)), "left")
     out = out.withColumn(parts, F.split(F.col(text), "\n", -1))

@@ -3,6 +3,7 @@ again only what it touched plus the context that its boundaries depend on."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -95,14 +96,20 @@ class CountTree:
         """
         first, begin = self._leaf_at(start - 2)
         last, at = self._leaf_at(max(start, stop - 1))
-        end = at + len(self.leaves[last])
-        old = "".join(self.leaves[first : last + 1])
+        touched, end = [first], begin + self.chars[self.size + first]
+        while touched[-1] < last:
+            k, _ = self._leaf_at(end)
+            touched.append(k)
+            end += self.chars[self.size + k]
+        old = "".join([self.leaves[k] for k in touched])
         new = old[: start - begin] + text + old[stop - begin :]
+        more = 1
         while True:
-            ahead, k = "", last + 1
-            while len(ahead) < _AHEAD and k < len(self.leaves):
+            ahead, place = "", end
+            while len(ahead) < _AHEAD and place < self.chars[1]:
+                k, _ = self._leaf_at(place)
                 ahead += self.leaves[k]
-                k += 1
+                place += self.chars[self.size + k]
             found, met = [], not ahead
             for m in _pieces.finditer(new + ahead):
                 if m.end() > len(new):
@@ -111,15 +118,19 @@ class CountTree:
                 met = met or m.end() == len(new)
             if met or not new:
                 break
-            last += 1
-            new += self.leaves[last]
+            for _ in range(more):  # twice as many each time, so that what is looked at again stays in proportion
+                if end < self.chars[1]:
+                    k, _ = self._leaf_at(end)
+                    touched.append(k)
+                    new += self.leaves[k]
+                    end += self.chars[self.size + k]
+            more *= 2
         if not new:
             found = []
         self.encoded += len(found)
         self._set(first, new, sum(map(self.count, found)))
-        for k in range(first + 1, last + 1):
-            if self.leaves[k]:
-                self._set(k, "", 0)
+        for k in touched[1:]:
+            self._set(k, "", 0)
 
     def apply(self, edits: Iterable[Edit]) -> int:
         """Applies edits given in positions of the text as it is, from the last to the first; returns how
@@ -137,8 +148,30 @@ class CountTree:
         return done
 
 
-#: What the query's edits look for: addresses, long numbers and long runs of hexadecimal digits.
-_PRIVATE = regex.compile(r"(?P<mail>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)|(?P<key>\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{20,}\b)|(?P<number>\+?\d[\d ().-]{6,}\d)")
+#: What the query's edits look for: addresses, long numbers and long runs of hexadecimal digits. Addresses are
+#: found by runs of what a name may hold, so each character is looked at once.
+_RUNS = regex.compile(r"[\w.+-]++")
+_DOMAIN = re.compile(r"[\w-]++(?:\.[\w-]++)++")
+_PRIVATE = regex.compile(r"(?P<key>\b(?=[0-9]*+[a-f])(?=[a-f]*+[0-9])[0-9a-f]{20,}+\b)|(?P<number>\+?\d[\d ().-]{6,}\d)")
+
+
+def _private(line: str) -> list[tuple[int, int, str]]:
+    """Places of personal data: the first from the left counts, an address before what begins with it."""
+    found, reach = [], 0
+    for run in _RUNS.finditer(line) if "@" in line else ():
+        start, stop = max(run.start(), reach), run.end()
+        if start < stop and line[stop : stop + 1] == "@" and (m := _DOMAIN.match(line, stop + 1)):
+            found.append((start, 0, m.end(), "mail", stop))
+            reach = m.end()
+    found += [(m.start(), 1, m.end(), m.lastgroup, 0) for m in _PRIVATE.finditer(line)]
+    out, reach = [], 0
+    for start, _, stop, kind, at in sorted(found):
+        if start < reach < at:
+            start = reach
+        if start >= reach:
+            out.append((start, stop, kind))
+            reach = stop
+    return out
 
 
 def cleaning_edits(text: str) -> list[Edit]:
@@ -152,7 +185,8 @@ def cleaning_edits(text: str) -> list[Edit]:
             edits.append((max(at - 1, 0), stop, ""))
         else:
             seen.add(line)
-            edits += [(at + m.start(), at + m.end(), f"[{m.lastgroup}]") for m in _PRIVATE.finditer(line)] if any(c.isdigit() for c in line) or "@" in line else []
+            if "@" in line or any(c.isdigit() for c in line):
+                edits += [(at + a, at + b, f"[{kind}]") for a, b, kind in _private(line)]
         at = stop + 1
     return edits
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 from fedspark.llm import bpe, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality_rules, queries, simhash, token_counts, url_filters
-from fedspark.llm.components import connected_components
+from fedspark.llm.components import connected_components, merged_components
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,6 +88,35 @@ def test_count_tree_after_any_edits():
             assert tree.n_tokens == sum(map(count, token_counts._pieces.findall(text)))
 
 
+@pytest.mark.parametrize("text", ["x1a" + "abc1" * 250000, "a@" * 100000, "same line here\n" * 100000, "1 " * 100000, "0a" * 100000 + "g", "me@example.org " * 20000, "12345678 me@x.org\n" * 20000])
+def test_counts_of_long_texts(text):
+    import time
+
+    began = time.perf_counter()
+    count = token_counts.Counter(queries.BYTE_TOKENIZER)
+    tree = token_counts.CountTree(text, count)
+    tree.apply(token_counts.cleaning_edits(text))
+    assert time.perf_counter() - began < 60  # a path that is quadratic takes hours
+    after = edited_lines(text)
+    assert tree.text == after and tree.n_tokens == token_counts.CountTree(after, count).n_tokens
+
+
+def edited_lines(text):
+    edits, out, at = token_counts.cleaning_edits(text), [], 0
+    for a, b, new in edits:
+        out += [text[at:a], new]
+        at = b
+    return "".join(out) + text[at:]
+
+
+def test_cleaning_edits():
+    found = lambda text: [(text[a:b], new) for a, b, new in token_counts.cleaning_edits(text)]
+    assert found("a.b+c@ex-am.ple.org, x@y and +49 (30) 123-456") == [("a.b+c@ex-am.ple.org", "[mail]"), ("+49 (30) 123-456", "[number]")]
+    assert found("0123456789abcdef0123 0123456789abcdefghij aaaaaaaaaaaaaaaaaaaaaaaa") == [("0123456789abcdef0123", "[key]"), ("0123456789", "[number]")]
+    assert found("one@x.org@y.org") == [("one@x.org", "[mail]")]
+    assert found("a\n\na\n\nb") == [("\na", "")]
+
+
 def test_an_edit_encodes_little_again():
     tree = token_counts.CountTree("some words " * 5000, token_counts.Counter(queries.BYTE_TOKENIZER))
     tree.replace(20000, 20004, "other")
@@ -267,29 +296,36 @@ def test_html_extraction(spark):
     assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def wrapped(pages):
+    wrapper = None
+    for x in pages:
+        wrapper = html_extract.generalize(wrapper, html_extract.wrapper_of(html_extract.parse(x)))
+    return wrapper
+
+
 def test_wrappers_generalize():
-    one = html_extract.wrapper_of(html_extract.parse("<body><div id=c><h2>a</h2><p>x</p><h2>b</h2><p>y</p></div></body>"))
-    two = html_extract.wrapper_of(html_extract.parse("<body><div id=c><h2>a</h2><p>z</p><table></table></div></body>"))
-    body = html_extract.generalize(one, two)[5][0]
-    items = [(i[0], i[1], i[2]) for i in body[5][0][5]]
+    one = "<body><div id=c><h2>a</h2><p>x</p><h2>b</h2><p>y</p></div></body>"
+    two = "<body><div id=c><h2>a</h2><p>z</p><table></table></div></body>"
+    wrapper = wrapped([one, two])
+    items = [(i[0], i[1], i[2]) for i in wrapper[5][0][5][0][5]]
     assert items == [("h2", False, True), ("p", False, True), ("table", True, False)]
+    assert html_extract.loaded(html_extract.dumped(wrapper)) == wrapper
 
 
 def test_template_text_is_left_out():
     make = lambda n: f"<body><div class=box>Same everywhere</div><div class=text>{n} is new</div></body>"
-    wrapper = None
-    for n in range(6):
-        wrapper = html_extract.generalize(wrapper, html_extract.wrapper_of(html_extract.parse(make(n))))
-    assert html_extract.extract(make(9), wrapper) == "9 is new"
+    assert html_extract.extract(make(9), wrapped(map(make, range(6)))) == "9 is new"
+    shop = lambda n: f"<body><ul><li>Home<li>About us</ul><p>Our shop hours are nine to five</p><div class=text><h2>{n}</h2><p>Story {n}</p></div></body>"
+    assert html_extract.extract(shop(3), None) == "Home\n\nAbout us\n\nOur shop hours are nine to five\n\n3\n\nStory 3"
+    assert html_extract.extract(shop(3), wrapped(map(shop, range(50)))) == "3\n\nStory 3"
 
 
-def test_copies_and_siblings_are_no_template():
-    def wrapped(pages):
-        wrapper = None
-        for x in pages:
-            wrapper = html_extract.generalize(wrapper, html_extract.wrapper_of(html_extract.parse(x)))
-        return wrapper
+def test_text_of_few_pages_is_no_template():
+    make = lambda n: f"<body><p>{'Quoted often' if n % 4 == 0 else f'own {n}'}</p><p>Story {n}</p></body>"
+    assert html_extract.extract(make(0), wrapped(map(make, range(60)))) == "Quoted often\n\nStory 0"
+
 
+def test_copies_and_siblings_are_no_template():
     plain = "<body><div class=text>The story</div><section>Its end</section></body>"
     assert html_extract.extract(plain, wrapped([plain] * 6)) == "The story\n\nIts end"
     lines = "<body>" + "<div>again</div>" * 5 + "</body>"
@@ -303,6 +339,37 @@ def test_copies_and_siblings_are_no_template():
     assert html_extract.extract(box(1), wrapped([box(n) for n in range(5)] * 3)) == "1 is new"
 
 
+def test_names_that_only_hold_a_word():
+    body = "<body><article class='post comments-open'><p>Text</p><div class=share-price>12</div><div class=share-buttons>Share</div><div class='related posts'>More</div></article><article class=comment-12>Me too</article></body>"
+    assert html_extract.extract(body, None) == "Text\n\n12"
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<body>" + "<div>" * 20000 + "<p>inside</p>" + "</div>" * 20000 + "</body>"
+    odd = "<body>" + "<x>" * 20000 + "<p>inside</p>" + "</y>" * 20000 + "</body>"
+    wide = "<body>" + "".join(f"<div class=c{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k // 100 % 10]}>t{k}</div>" for k in range(1000)) + "</body>"
+    long = "<body><article><p>" + "word " * 200000 + "</p></article></body>"
+    rows = [(k, "http://h.example.org/", x) for k, x in enumerate([deep, deep, odd, wide, wide.replace("=ca", "=za"), long])]
+    rows += rows[:1]
+    got = sorted((r["page_id"], r["text"]) for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert [k for k, _ in got] == [0, 0, 1, 2, 3, 4, 5]
+    assert [t for _, t in got][:4] == ["inside"] * 4 and got[6][1] == ("word " * 200000).strip()
+    assert got[4][1].count("\n\n") == 999
+
+
+def test_html_extraction_of_a_whole_table(spark):
+    import html as entities
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    got = {r["page_id"]: r["text"] for r in queries.op6_html_extract(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(rows) == 250
+    for r in rows:
+        article = re.search(r"<article>(.*)</article>", r["html"], re.S)
+        assert article is not None
+        plain = entities.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"<!--.*?-->", "", article[1], flags=re.S)))
+        assert "".join(plain.split()) == "".join(got[r["page_id"]].split())
+
+
 # ---- 7
 
 
@@ -437,6 +504,29 @@ def test_components(spark):
     assert all(root[k] == v for k, v in got.items()) and set(got) == {x for a, b in edges if a is not None and a != b for x in (a, b)}
 
 
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch):
+    from fedspark.llm import components
+
+    passes = []
+    chased = components._chased
+    monkeypatch.setattr(components, "_chased", lambda *a: passes.append(1) or chased(*a))
+    r = random.Random(12)
+    names = list(range(20000, 30000))
+    r.shuffle(names)
+    chain = [(k, k + 1) for k in range(10000)] + list(zip(names, names[1:]))
+    got = {x["node"]: x["root"] for x in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert len(got) == 20001 and {got[k] for k in range(10001)} == {0} and {got[k] for k in names} == {20000}
+    assert len(passes) < 20
+
+
+def test_components_go_on(spark):
+    links = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    roots = connected_components(links([(1, 2), (5, 6), (8, 9)]))
+    got = {x["node"]: x["root"] for x in merged_components(roots, links([(2, 6), (3, 4), (6, 5)])).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 3: 3, 4: 3, 8: 8, 9: 8}
+    assert connected_components(links([])).count() == 0
+
+
 # ---- 9
 
 
