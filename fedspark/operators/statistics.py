@@ -36,6 +36,13 @@ def analyze(df: DataFrame, sample_percent: float = 100.0, seed: int = 42, exact:
     return one.select(F.inline(F.array(*columns)))
 
 
+def analyze_table(spark, table, user=None, exact: bool = False, seed: int = 42) -> DataFrame:
+    """Statistics of a foreign table, from the share of its rows that its sample_percent names."""
+    from ..sources.scan import scan
+
+    return analyze(scan(spark, table, user), float(table.effective()["sample_percent"]), seed, exact)
+
+
 def table_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
     """A sample scan: each row with the same chance."""
     return df.sample(fraction=percent / 100, seed=seed)

@@ -1,12 +1,14 @@
 """Tables as folders of versions: atomic commits, savepoints and rollback without locks.
 
-A version is a folder of Parquet files that never changes; the newest one with a marker is the table. A
-writer that dies leaves a folder without a marker, which nobody reads. The marker is made by a create that
-fails if another writer was first, so of two commits on one version one loses and says so.
+A version is a folder of Parquet files that never changes; the newest one with a marker is the table. Each
+attempt to write a version has a folder of its own, which the marker names, so a writer that dies or loses
+leaves a folder that nobody reads and touches no other's. The marker is made by a create that fails if
+another writer was first, so of two commits on one version one loses and says so.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +34,19 @@ class VersionedTable:
             return 0
         return max((int(x.getPath().getName()) for x in fs.listStatus(at)), default=0)
 
+    def _folder(self, version: int) -> str:
+        fs, marker = self._at(f"commits/{version:08d}")
+        stream = fs.open(marker)
+        try:
+            return f"{self.path}/{bytes(stream.readAllBytes()).decode()}"
+        finally:
+            stream.close()
+
     def read(self, version: int | None = None) -> DataFrame:
         n = self.version if version is None else version
         if n == 0:
             raise FederationError(f"{self.path} has no version yet")
-        return self.spark.read.parquet(f"{self.path}/v{n:08d}")
+        return self.spark.read.parquet(self._folder(n))
 
     def commit(self, df: DataFrame, on: int | None = None) -> int:
         """Writes df as the next version after on (the newest, if None)."""
@@ -46,9 +56,16 @@ class VersionedTable:
         fs, marker = self._at(f"commits/{base + 1:08d}")
         if fs.exists(marker):
             raise SerializationFailure(f"version {base + 1} of {self.path} was committed meanwhile")
-        df.write.mode("overwrite").parquet(f"{self.path}/v{base + 1:08d}")
-        if not fs.createNewFile(marker):
-            raise SerializationFailure(f"version {base + 1} of {self.path} was committed meanwhile")
+        name = f"v{base + 1:08d}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{name}")
+        try:
+            stream = fs.create(marker, False)
+        except Exception as e:
+            attempt = self._at(name)[1]
+            fs.delete(attempt, True)
+            raise SerializationFailure(f"version {base + 1} of {self.path} was committed meanwhile") from e
+        stream.write(name.encode())
+        stream.close()
         return base + 1
 
     def _apply(self, make: Callable[[DataFrame], Change]) -> Change:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import platform
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .errors import ActiveTransaction, FederationError, TableNotFound, from_remote
 from .model import ForeignTable, Server, UserMapping
+from .operators.statistics import analyze_table
+from .plans.remote_sql import pushed_scan, remote_join
 from .sources.scan import scan
 
 VERSION = "0.1.0"
@@ -52,11 +55,29 @@ class Session:
     def user_of(self, server: Server, local_user: str = "public") -> UserMapping | None:
         return self.users.get((server.name, local_user)) or self.users.get((server.name, "public"))
 
-    def table(self, name: str) -> DataFrame:
+    def _named(self, name: str) -> ForeignTable:
         if name not in self.tables:
             raise TableNotFound(f'foreign table "{name}" does not exist')
-        t = self.tables[name]
-        return scan(self.spark, t, self.user_of(t.server))
+        return self.tables[name]
+
+    def table(self, name: str, where: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """A foreign table. Conjuncts of where run at the remote, functions included, if they can; the rest
+        runs here."""
+        t = self._named(name)
+        if where is None and columns is None:
+            return scan(self.spark, t, self.user_of(t.server))
+        return pushed_scan(self.spark, t, self.user_of(t.server), columns, where)
+
+    def join(self, left: str, right: str, on: str, where: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """An inner join of two foreign tables with different column names: one remote query if both are
+        of one server and the condition ships, else in Spark."""
+        a, b = self._named(left), self._named(right)
+        return remote_join(self.spark, a, b, on, self.user_of(a.server), where, columns)
+
+    def analyze(self, name: str, exact: bool = False) -> DataFrame:
+        """Statistics by column, from a sample if the table's sample_percent says so."""
+        t = self._named(name)
+        return analyze_table(self.spark, t, self.user_of(t.server), exact)
 
     def register(self, *names: str) -> None:
         """Makes foreign tables (all, if none is named) views of Spark SQL."""

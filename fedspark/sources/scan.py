@@ -55,8 +55,18 @@ def _narrower(remote: DataFrame, columns: tuple[Column, ...]) -> str | None:
     return ", ".join(f"`{f.name}` {c.type.simpleString()}" for f, c in pairs) or None
 
 
-def conform(remote: DataFrame, columns: tuple[Column, ...], used: set[str] | None = None) -> DataFrame:
-    """remote with the declared columns, met by position.
+def as_type(value, source: T.DataType, wanted: T.DataType):
+    """A remote value as the declared type. A remote's time of day is read as a time on the first day."""
+    if source == wanted:
+        return value
+    if isinstance(wanted, T.TimeType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
+        return F.call_function("to_time", F.date_format(value, "HH:mm:ss.SSSSSS")).cast(wanted)
+    return value.cast(wanted)
+
+
+def conform(remote: DataFrame, columns: tuple[Column, ...], used: set[str] | None = None, mend: bool = False) -> DataFrame:
+    """remote with the declared columns, met by position; each keeps the remote's name in its metadata. mend
+    puts the replacement character for bytes of text that are no UTF-8.
 
     A declared column beyond the remote's last gives a warning and nulls; a dropped one gives nothing but
     holds its place no more. Types are checked for the columns in used (all, if None) and cast so that a
@@ -74,8 +84,10 @@ def conform(remote: DataFrame, columns: tuple[Column, ...], used: set[str] | Non
         source = remote.schema.fields[k]
         scale = source.dataType.scale if isinstance(source.dataType, T.DecimalType) else 0
         types.check(c.name, types.remote_name(source.dataType), c.type, scale)
-        value = F.col(f"`{source.name}`")
-        out.append((value if source.dataType == c.type else value.cast(c.type)).alias(c.name, metadata={"key": c.is_key}))
+        value = as_type(F.col(f"`{source.name}`"), source.dataType, c.type)
+        if mend and isinstance(c.type, T.StringType):
+            value = F.make_valid_utf8(value)
+        out.append(value.alias(c.name, metadata={"key": c.is_key, "remote": source.name}))
     return remote.select(*out)
 
 
@@ -85,7 +97,7 @@ def scan(spark: SparkSession, table: ForeignTable, user: UserMapping | None = No
     rows = remote_rows(spark, table, user, partition)
     if table.server.is_jdbc and (as_types := _narrower(rows, table.columns)):
         rows = remote_rows(spark, table, user, partition, as_types)
-    return conform(rows, table.columns, used) if table.columns else rows
+    return conform(rows, table.columns, used, bool(table.effective().get("no_encoding_error"))) if table.columns else rows
 
 
 def describe(spark: SparkSession, table: ForeignTable, user: UserMapping | None = None) -> DataFrame:
@@ -93,10 +105,3 @@ def describe(spark: SparkSession, table: ForeignTable, user: UserMapping | None
     fields = remote_rows(spark, table, user).schema.fields
     rows = [(k + 1, f.name, f.dataType.simpleString(), f.nullable) for k, f in enumerate(fields)]
     return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean")
-
-
-def text_of(value, no_encoding_error: bool = False):
-    """Text from bytes: bytes that aren't UTF-8 are an error, or with no_encoding_error the replacement
-    character."""
-    text = F.col(value).cast("string") if isinstance(value, str) else value
-    return F.make_valid_utf8(text) if no_encoding_error else F.validate_utf8(text)

@@ -121,3 +121,41 @@ def test_number_and_date_functions(spark):
     assert one.select(trunc("d", 1), trunc("e", 1), trunc("n"), date_part("second", "t")).first()[:] == (2.3, -2.5, None, 12.5)
     with pytest.raises(ValueError):
         date_part("century", "t")
+
+
+def test_the_loser_of_two_writers_leaves_the_winners_rows(spark, tmp_path):
+    import pytest
+
+    from fedspark.errors import SerializationFailure
+    from fedspark.operators.versions import VersionedTable
+
+    rows = lambda *x: spark.createDataFrame([(v,) for v in x], "k int")
+    a, b = (VersionedTable(spark, str(tmp_path / "t"), ["k"]) for _ in range(2))
+    a.commit(rows(1))
+    base = b.version
+    a.commit(rows(1, 2), on=base)
+    with pytest.raises(SerializationFailure):
+        b.commit(rows(7, 8), on=base)
+    assert sorted(r["k"] for r in a.read().collect()) == [1, 2] and a.version == 2
+
+    class Slow(VersionedTable):
+        """Finds no marker, so that its rows are written before another's commit is seen."""
+
+        def _at(self, name):
+            fs, at = super()._at(name)
+            if name.startswith("commits/") and not self.looked:
+                self.looked = True
+                a.commit(rows(3), on=2)
+                fs.delete(at, False)
+                late = fs.create(at, False)
+                late.write(b"theirs")
+                late.close()
+                return type("Blind", (), {"exists": lambda _, x: False, "create": lambda _, *x: fs.create(*x), "delete": lambda _, *x: fs.delete(*x)})(), at
+            return fs, at
+
+    c = Slow(spark, str(tmp_path / "t"), ["k"])
+    c.looked = False
+    with pytest.raises(SerializationFailure):
+        c.commit(rows(9), on=2)
+    folders = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]
+    assert sorted(f[:9] for f in folders) == ["v00000001", "v00000002", "v00000003"]  # the loser's own is gone

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fedspark import Column, ForeignTable, Server, Session, UserMapping
-from fedspark.errors import ActiveTransaction, ReadOnly, RowCountMismatch, SchemaNotFound, TableNotFound
+from fedspark.errors import ActiveTransaction, FederationError, ReadOnly, RowCountMismatch, SchemaNotFound, TableNotFound
 from fedspark.operators.imports import import_schema, statements
-from fedspark.operators.remote_changes import delete_remote, insert_remote, truncate_remote, update_remote
+from fedspark.operators.remote_changes import copy_remote, delete_remote, insert_remote, insert_routed, truncate_remote, update_remote
 from fedspark.plans import explain_scan, join_sql, order_sql, scan_sql, split_filter
-from fedspark.plans.remote_sql import remote_join
+from fedspark.plans.remote_sql import pushed_scan, remote_join
 from fedspark.session import connect
 from fedspark.sources import describe, scan
 
@@ -116,7 +116,9 @@ def test_join_ships(spark, remote):
     assert local.count() == 4
 
 
-@pytest.mark.parametrize("predicate", ["MANAGER > 100", "DEPTNAME LIKE 'M%'", "MANAGER % 20 = 10 AND DIVISION <> 'Eastern'", "MANAGER IN (10, 30, 270)", "abs(MANAGER - 150) < 60", "upper(DIVISION) = 'WESTERN'", "CASE WHEN MANAGER > 100 THEN 1 ELSE 0 END = 1", "NOT (DIVISION = 'Eastern' OR MANAGER IS NULL)", "coalesce(MANAGER, 0) * 2 >= 280"])
+@pytest.mark.parametrize("predicate", ["MANAGER > 100", "DEPTNAME LIKE 'M%'", "MANAGER % 20 = 10 AND DIVISION <> 'Eastern'", "MANAGER IN (10, 30, 270)", "abs(MANAGER - 150) < 60", "upper(DIVISION) = 'WESTERN'", "CASE WHEN MANAGER > 100 THEN 1 ELSE 0 END = 1", "NOT (DIVISION = 'Eastern' OR MANAGER IS NULL)", "coalesce(MANAGER, 0) * 2 >= 280",
+    "DEPTNAME = 'null' OR MANAGER = 10", "DEPTNAME IN ('null', 'Plains')", "DEPTNAME LIKE 'M!%%' ESCAPE '!' OR DEPTNAME LIKE '%t!_x' ESCAPE '!' OR DEPTNAME LIKE 'M%' ESCAPE '!'", "substring(DEPTNAME, 0, 2) = 'Mo'", "substring(DEPTNAME, 2) = 'lains'", "substring(DEPTNAME, 1, 3) = 'Mid'",
+    "DEPTNAME || '-' || DIVISION = 'Plains-Midwest'", "concat(DIVISION, LOCATION) = 'EasternBoston'", "trim(DIVISION) = 'Eastern'", "ltrim(rtrim(LOCATION)) = 'Dallas'"])
 def test_remote_filter_equals_local(spark, remote, predicate):
     t = plain(remote, "ORG")
     df = scan(spark, t)
@@ -126,12 +128,91 @@ def test_remote_filter_equals_local(spark, remote, predicate):
     assert rows(scan(spark, query)) == rows(df.where(predicate))
 
 
-@pytest.mark.parametrize("predicate,why", [("DEPTNAME > 'M'", "collation"), ("DEPTNAME = ''", "empty string"), ("MANAGER / 2 > 5", "no remote form"), ("DEPTNAME || 'x' = 'ax'", "no remote form"), ("DEPTNAME RLIKE 'M'", "no remote form")])
+@pytest.mark.parametrize("predicate,why", [("DEPTNAME > 'M'", "collation"), ("DEPTNAME = ''", "empty string"), ("MANAGER / 2 > 5", "no remote form"), ("substring(DEPTNAME, -2) = 'ns'", "from the end"), ("date_format(DATE'2024-01-02', 'EEE') = DEPTNAME", "field EEE"), ("DEPTNAME RLIKE 'M'", "no remote form")])
 def test_what_stays_local(spark, remote, predicate, why):
     found = split_filter(scan(spark, plain(remote, "ORG")), f"MANAGER > 1 AND {predicate}")
     assert len(found.remote) >= 1 and len(found.local) == 1 and why in found.local[0][1]
 
 
+@pytest.fixture()
+def times(spark, remote):
+    c = connect(spark, remote)
+    run = c.createStatement().executeUpdate
+    run('CREATE TABLE "APP1"."TIMES" ("ID" INTEGER NOT NULL PRIMARY KEY, "T" TIME, "D" DATE, "TS" TIMESTAMP, "C6" CHAR(6))')
+    run("""INSERT INTO "APP1"."TIMES" VALUES (1, TIME('12:34:56'), DATE('2024-02-29'), TIMESTAMP('2024-02-29 12:34:56.789'), 'ab'), (2, TIME('00:00:00'), DATE('1999-12-31'), TIMESTAMP('1999-12-31 23:59:59'), 'abc'), (3, NULL, NULL, NULL, NULL)""")
+    c.close()
+    return import_schema(spark, remote, "APP1", limit_to=["times"])["times"]
+
+
+@pytest.mark.parametrize("predicate", ["t = TIME'12:34:56'", "d >= DATE'2000-01-01'", "ts < TIMESTAMP_NTZ'2024-02-29 12:34:56.790'", "year(d) = 2024", "month(d) = 12 AND day(d) = 31", "hour(ts) = 23 OR minute(ts) = 34", "c6 = 'ab    '", "c6 <> 'ab    '"])
+def test_pushed_scan_of_times(spark, remote, times, predicate):
+    df = scan(spark, times)
+    assert df.dtypes[1] == ("t", "time(6)") and [r["t"] for r in df.orderBy("id").collect()] == [datetime.time(12, 34, 56), datetime.time(0, 0), None]
+    out = pushed_scan(spark, times, where=predicate)
+    assert out.dtypes == df.dtypes and rows(out.select("id")) == rows(df.where(predicate).select("id"))
+    assert " WHERE " in out._jdf.queryExecution().toString()
+
+
+def test_texts_that_ship(spark, times):
+    df = scan(spark, times)
+    text = lambda p: split_filter(df, p).remote[0]
+    assert text("d + INTERVAL 14 MONTHS > DATE'2024-01-01'") == """(("D" + 1 YEARS + 2 MONTHS) > DATE('2024-01-01'))"""
+    assert '("TS" + -1 DAYS - 2 HOURS)' in text("ts + INTERVAL '-1 02' DAY TO HOUR > ts")
+    assert text("date_format(ts, 'yyyy-MM-dd HH:mm:ss') = 'x'") == """(TO_CHAR("TS", 'YYYY-MM-DD HH24:MI:SS') = 'x')"""
+    assert text("lpad(c6, 8, '*') = initcap(c6)") == """(LPAD("C6", 8, '*') = INITCAP("C6"))"""
+    assert text("d < current_date()") == '("D" < CURRENT DATE)'
+    assert "ESCAPE '\\'" in text("c6 LIKE 'a%'") and "ESCAPE '!'" in text("c6 LIKE 'a!%' ESCAPE '!'")
+
+
+def test_imported_names_ship(spark, remote):
+    found = import_schema(spark, remote, "APP1")
+    s = Session(spark).add(remote, *found.values())
+    df = s.table("org", where="manager > 100 AND upper(deptname) LIKE 'M%' AND deptname > 'A'", columns=["deptnumb", "deptname"])
+    assert rows(df) == [(84, "Mountain")] and df.columns == ["deptnumb", "deptname"]
+    plan = df._jdf.queryExecution().toString()
+    assert 'UPPER("DEPTNAME") LIKE' in plan.replace(" (", "(").replace("(UPPER", "UPPER") and '"DEPTNUMB" AS "deptnumb"' in plan
+    joined = s.join("employee", "sales", "lastname = sales_person", columns=["empno", "lastname", "Amount"])
+    assert rows(joined.select("lastname", "Amount").where("Amount is not null")) == [("LEE", 3), ("LEE", 8), ("LUCCHESSI", 1)]
+    assert "INNER JOIN" in joined._jdf.queryExecution().toString() and joined.schema["empno"].metadata["remote"] == "EMPNO"
+    assert s.join("employee", "sales", "lastname = sales_person AND lastname < 'M'").count() == 4
+    assert s.analyze("org").count() == 5
+
+
+def test_copy_and_routed_insert(spark, remote, tmp_path):
+    t = org(remote)
+    (tmp_path / "new.csv").write_text("deptnumb,deptname,manager,division,location\n91,One,1,East,Here\n92,Two,,East,There\n")
+    copy_remote(spark, t, str(tmp_path / "new.csv"))
+    assert rows(scan(spark, t).where("deptnumb > 90")) == [(91, "One", 1, "East", "Here"), (92, "Two", None, "East", "There")]
+    new = spark.createDataFrame([(93, "a"), (94, "b")], "deptnumb short, deptname string")
+    insert_routed(spark, [(t, "deptname = 'a'"), (org(remote), "deptname = 'b'")], new)
+    assert scan(spark, t).count() == 12
+    with pytest.raises(FederationError, match="no partition"):
+        insert_routed(spark, [(t, "deptname = 'a'")], new)
+    (tmp_path / "bad.csv").write_text("deptnumb,deptname,manager,division,location\nx,One,1,East,Here\n")
+    with pytest.raises(Exception):
+        copy_remote(spark, t, str(tmp_path / "bad.csv"))
+
+
+def test_each_change_meets_one_row(spark, remote):
+    t = org(remote)
+    with pytest.raises(RowCountMismatch, match="DEPTNUMB = 10 meet 2"):  # as many rows as changes in all
+        update_remote(spark, t, spark.createDataFrame([(10, "x"), (10, "y")], "deptnumb short, deptname string"))
+    assert scan(spark, t).where("deptname in ('x', 'y')").count() == 0
+    c = connect(spark, remote)
+    left = c.getMetaData().getTables(None, "APP1", "STAGE%", None)
+    assert not left.next()
+
+
+def test_long_values(spark, remote):
+    c = connect(spark, remote)
+    c.createStatement().executeUpdate('CREATE TABLE "APP1"."LOBS" ("ID" INTEGER, "C" CLOB, "X" BLOB)')
+    t = ForeignTable("lobs", remote, {"schema": "APP1", "table": "LOBS"}, (Column("id", T.IntegerType()), Column("c", T.StringType()), Column("x", T.BinaryType())))
+    sizes = [0, 1, 8191, 8192, 8193, 100_000]
+    insert_remote(spark, t, spark.createDataFrame([(n, "é" * n, bytearray(b"\x00\xff" * n)) for n in sizes], "id int, c string, x binary"))
+    got = {r["id"]: (r["c"], bytes(r["x"])) for r in scan(spark, t).collect()}
+    assert got == {n: ("é" * n, b"\x00\xff" * n) for n in sizes}
+
+
 def test_sort_and_empty_projection(spark, remote):
     df = scan(spark, plain(remote, "ORG"))
     assert order_sql(df, [("MANAGER", True, False)]) == '"MANAGER" ASC NULLS LAST'
