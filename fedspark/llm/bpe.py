@@ -27,7 +27,7 @@ from .common import give_back, ready_for_python
 _NONE = 1 << 60
 _SHIFT = 21
 _LOW = (1 << _SHIFT) - 1
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+_WORDS, _SPACE = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[\x20\x09-\x0D]")
 #: The split pattern of the word vocabulary as its file writes it, and as it reads for lower-case ASCII.
 _WORD_SPLIT = json.dumps(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
@@ -127,16 +127,30 @@ class Decoder:
         if piece is None:
             return ""
         if not self.byte_level:
-            joint, self.first = "" if self.first else " ", False
-            return joint + piece
+            return self.joint() + piece
         if all(c in self.of_symbol for c in piece):
             return self.state.decode(bytes(self.of_symbol[c] for c in piece))
         return self.state.decode(piece.encode())
 
+    def joint(self) -> str:
+        """What stands before the next token of a file without a decoder."""
+        joint, self.first = "" if self.first else " ", False
+        return joint
+
     def finish(self) -> str:
         return self.state.decode(b"", final=True) if self.byte_level else ""
 
 
+def _word_blocks(text: str, size: int = 65_536) -> Iterator[list[str]]:
+    """The words of a text, those of about size characters at a time."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + size)
+        block = text[at : cut.start()] if cut else text[at:]
+        at += len(block)
+        yield block.split() if not _ODD_SPACE.search(block) else _WORDS.findall(block)
+
+
 class Transducer:
     """Encoder and decoder of one tokenizer file. Normalizer and pre-tokenizer are the file's own; the
     merges are run by MergeTable. What one white-space-free word gives is kept in a two-generation
@@ -188,7 +202,7 @@ class Transducer:
         hit = self.young.get(word) or self.old.get(word)
         if hit is None:
             ids = self._tokens(word)
-            hit = (len(ids), " ".join(map(str, ids)), " ".join(self.pieces[i] for i in ids))
+            hit = (len(ids), " ".join(map(str, ids)), "".join(self.decode(ids)))
         if len(word) <= 64:
             if len(self.young) >= self.cache_words:
                 self.young, self.old = {}, self.young
@@ -220,12 +234,13 @@ class Transducer:
         yield decoder.finish()
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids joined by spaces, SHA-256 of the decoded text. Memory stays
-        constant beside the text: hashes are fed block by block."""
-        text, n, seen = text or "", 0, False
+        """Number of ids, SHA-256 of the ids joined by spaces, SHA-256 of the decoded text. Beside the text
+        memory stays constant: words come in blocks and hashes are fed block by block. A word's ids and what
+        the decoder makes of them are remembered together."""
+        text, n = text or "", 0
         ids, out = hashlib.sha256(), hashlib.sha256()
+        decoder = Decoder(self.pieces, self.byte_level)
         if not self.by_word:
-            decoder = Decoder(self.pieces, self.byte_level)
             for i in self.encode(text):
                 ids.update((b" " if n else b"") + str(i).encode())
                 out.update(decoder.feed(i).encode())
@@ -233,11 +248,10 @@ class Transducer:
             out.update(decoder.finish().encode())
             return n, ids.hexdigest(), out.hexdigest()
         for segment, special in self._segments(text):
-            words = segment.split() if not _ODD_SPACE.search(segment) else _WORDS.findall(segment)
-            for k in range(0, len(words), 8192):
+            for words in _word_blocks(segment):
                 part = []
                 get, add = self.young.get, part.append
-                for w in words[k : k + 8192]:
+                for w in words:
                     hit = get(w)
                     if hit is None:
                         hit = self._word(w)
@@ -245,14 +259,13 @@ class Transducer:
                     add(hit)
                 part = [x for x in part if x[0]]
                 if part:
-                    joint = " " if seen else ""
-                    ids.update((joint + " ".join([x[1] for x in part])).encode())
-                    out.update((joint + " ".join([x[2] for x in part])).encode())
-                    n, seen = n + sum([x[0] for x in part]), True
+                    ids.update(((" " if n else "") + " ".join([x[1] for x in part])).encode())
+                    out.update((decoder.joint() + " ".join([x[2] for x in part])).encode())
+                    n += sum([x[0] for x in part])
             if special is not None:
-                ids.update(((" " if seen else "") + str(special)).encode())
-                out.update(((" " if seen else "") + self.pieces[special]).encode())
-                n, seen = n + 1, True
+                ids.update(((" " if n else "") + str(special)).encode())
+                out.update(decoder.feed(special).encode())
+                n += 1
         return n, ids.hexdigest(), out.hexdigest()
 
 

@@ -85,6 +85,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def apart(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """docs with its columns renamed to c0, c1 and so on, so that none clashes with what is added, and what
+    the wanted ones are called then."""
+    return docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))), [f"c{docs.columns.index(w)}" for w in wanted]
+
+
+def together(out: DataFrame, names: list[str], *added: str) -> DataFrame:
+    """What apart() took apart under its names again, and the added columns, which replace those of their
+    name."""
+    return out.select(*(F.col(f"c{k}").alias(n) for k, n in enumerate(names) if n not in added), *added)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str):
     """Settings of the session (dots as double underscores) for the actions in the block."""

@@ -10,12 +10,14 @@ of pairs is kept: what leaves a task is a count for each vector and a forest of
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, materialize, ready_for_python
+from .common import Scratch, give_back, materialize, ready_for_python
 from .components import connected_components
 from .runs import sorted_runs
 
@@ -177,15 +179,28 @@ def _compare(table: dict, lengths: np.ndarray, passes: int, similarity: float):
             yield _rows(1, uid[w][own], uid[w][root[own]])
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", similarity: float = 0.98, passes: int = 24, prefix: int = 16, seed: int = 11, part: int = _PART) -> DataFrame:
+def plan_passes(rows: int, similarity: float = 0.98, missed: float = 5e-5) -> tuple[int, int]:
+    """Passes, and the leading bits that vectors of a window share, for so many different vectors.
+
+    The bits grow with the logarithm of the rows, so that windows of vectors that have nothing to do with
+    each other stay as short as they are; the passes grow so that a pair at the threshold is missed by
+    all of them with at most this probability: one bit is equal with p = 1 - acos(similarity) / pi.
+    """
+    prefix = min(32, max(16, math.ceil(math.log2(max(rows, 1) / 2))))
+    equal = (1 - math.acos(similarity) / math.pi) ** prefix
+    return math.ceil(math.log(missed) / math.log1p(-equal)), prefix
+
+
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", similarity: float = 0.98, passes: int | None = None, prefix: int | None = None, seed: int = 11, part: int = _PART) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row.
 
     Rows link if their labels are equal and not null, their vectors have one length and the cosine of
     these, in double precision, is at least similarity. Exact copies are counted once with their number. A
     null or zero vector, or one with a null, infinite or NaN component, links with nothing. A null id
     never names a component unless all its ids are null; it is kept if nothing smaller names its own.
-    A pair at the threshold meets in one of passes with probability 1 - (1 - p^prefix)^passes, where
-    p = 1 - acos(similarity) / pi: over 0.9999 as set.
+    passes and prefix, where not given, follow from the number of different vectors (plan_passes): a pair
+    at the threshold is missed with a probability of 5e-5, nearer ones with less. Repeated rows come out
+    repeated, an empty table gives no rows, columns beside the three are not looked at.
     """
     spark = vectors.sparkSession
     ready_for_python(spark)
@@ -194,7 +209,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     packed = materialize(_packed(rows, f"vec_id {kind}, label string, vec binary"))
     fit = packed.where("label is not null and vec is not null")
     reps = fit.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
-    reps = materialize(reps.withColumn("uid", F.monotonically_increasing_id()))
+    reps, seen = Scratch(spark).counted(reps.withColumn("uid", F.monotonically_increasing_id()))
+    wanted = plan_passes(seen["n"], similarity)
+    passes, prefix = passes or wanted[0], prefix or wanted[1]
     coded = _with_codes(reps.select("uid", "n", "label", "vec"), passes, prefix, seed)
     dealt = coded.select("uid", "n", "label", "vec", "leads", F.posexplode("codes").alias("pass", "code"))
     lead = F.shiftright("code", 64 - prefix)

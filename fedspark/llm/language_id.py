@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, ready_for_python
+from .common import apart, give_back, ready_for_python, together
 
 #: Language codes by family. A code that isn't here is a family of its own.
 FAMILIES = {
@@ -195,12 +195,17 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     x, langs = np.empty((len(got), _DIM), np.float32), [r["lang"] for r in got]
     for k in range(len(got)):
         x[k], got[k] = np.frombuffer(got[k]["x"], np.float32), None
-    return fit(x, langs)
+    model = fit(x, langs)
+    del x, got
+    give_back()  # the driver lives on beside what comes next
+    return model
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with columns __lang and __score, predicted from the whole text alone."""
-    spark = docs.sparkSession
+    """docs with columns __lang and __score, predicted from the whole text alone; columns of docs with these
+    names are replaced. Repeated rows come out repeated."""
+    spark, names = docs.sparkSession, docs.columns
+    docs, (text,) = apart(docs, text)
     ready_for_python(spark)
     sent = spark.sparkContext.broadcast(model)  # of fixed width: 8,193 rows, a column a machine
 
@@ -210,9 +215,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         give_back()
         return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["lang", "score"])
 
-    names = docs.columns
-    out = docs.withColumn("__found", run(F.col(text)))
-    return out.select(*(out[c] for c in names), out["__found"]["lang"].alias("__lang"), out["__found"]["score"].alias("__score"))
+    out = docs.withColumn("found", run(F.col(text)))
+    return together(out.withColumns({"__lang": F.col("found.lang"), "__score": F.col("found.score")}), names, "__lang", "__score")
 
 
 def predictions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 2000) -> DataFrame:

@@ -20,9 +20,11 @@ _CHUNK = 65_536
 _MOST_SENT = 1_000_000
 #: Longs of marks for a line: enough to tell lines of up to some thousand shingles apart.
 _WORDS = 32
-#: Pivots of a bucket in the first round (of a bucket with no more lines, all), and by what they grow from
-#: round to round.
-_PIVOTS, _GROWTH = 16, 16
+#: Lines up to which all of a bucket are pivots at once; pivots of a larger bucket in the first round, and by
+#: what they grow from round to round.
+_SMALL, _PIVOTS, _GROWTH = 16, 2, 4
+#: Pairs above which it pays to verify one pair of two classes before the others.
+_MANY = 5_000
 
 
 def _blank(line: str) -> Column:
@@ -122,10 +124,10 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     class of the latter and is null for the former.
 
     Lines that share a band key are candidates. First each line is compared with the first line of one of
-    its buckets. Then, where a bucket holds different classes, rounds follow: up to 16, 256 and so on of its
-    lines, of different classes, are pivots that all the bucket's lines of other classes are compared with
-    (where it has no more lines than that, all); then they leave the bucket, all their links in it being
-    known. So every pair of a bucket is
+    its buckets. Then, where a bucket holds different classes, rounds follow: up to 2, 8, 32 and so on of its
+    lines (of up to 16, all), of different classes, are pivots that all the bucket's lines of other classes
+    are compared with; then they leave the bucket, all their links in it being known. Few pivots bring most
+    of a group of near copies into one class, so that later rounds have little left to pair. So every pair of a bucket is
     compared unless it is in one class already, and the rounds end when each bucket is empty or of
     one class. Pairs are made and weighed in one join, from which they only come out if marks of both
     shingle sets (2,048 bits) allow the similarity, which they never deny wrongly; the exact check follows.
@@ -153,22 +155,24 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     scratch.drop(links)
     (members, seen), most = scratch.counted(_seated(members, roots)), _PIVOTS
     while seen["n"]:
-        slot = F.when(F.col("n") <= most, F.col("id")).otherwise(F.pmod(F.xxhash64(F.lit(most), "root"), F.lit(most)))
+        slot = F.when(F.col("n") <= max(most, _SMALL), F.col("id")).otherwise(F.pmod(F.xxhash64(F.lit(most), "root"), F.lit(most)))
         pivots = members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "root")).alias("pivot"))
         pivots = keep(pivots.select("key", "pivot.id", "pivot.root"))
         x, y = _side(members.drop("n").join(profiles, "id"), "x_"), _side(pivots.join(profiles, "id"), "y_")
         near = x.join(y, (F.col("x_key") == F.col("y_key")) & (F.col("x_root") != F.col("y_root")) & may)
-        near = keep(near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"), F.greatest("x_root", "y_root").alias("p"), F.least("x_root", "y_root").alias("q")).distinct())
-        # first one pair for each two classes, then those that this has not brought together
-        tried = keep(near.groupBy("p", "q").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b"))
-        links = keep(_verified(tried, texts, k, similarity))
+        near, seen = scratch.counted(near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"), F.greatest("x_root", "y_root").alias("p"), F.least("x_root", "y_root").alias("q")).distinct())
+        tried = near.select("a", "b")
+        if seen["n"] > _MANY:  # first one pair for each two classes, then those that this has not brought together
+            tried = keep(near.groupBy("p", "q").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b"))
+        links = more = keep(_verified(tried, texts, k, similarity))
         roots = keep(merged_components(roots, links))
-        one, two = (roots.select(F.col("node").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
-        apart = near.join(one, F.col("a") == F.col("na"), "left").join(two, F.col("b") == F.col("nb"), "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-        more, seen = scratch.counted(apart.select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        if seen["n"]:
-            links = keep(_verified(more, texts, k, similarity))
-            roots = keep(merged_components(roots, links))
+        if seen["n"] > _MANY:
+            one, two = (roots.select(F.col("node").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
+            apart = near.join(one, F.col("a") == F.col("na"), "left").join(two, F.col("b") == F.col("nb"), "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+            more, seen = scratch.counted(apart.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+            if seen["n"]:
+                links = keep(_verified(more, texts, k, similarity))
+                roots = keep(merged_components(roots, links))
         left, seen = scratch.counted(_seated(members.select("key", "id").join(pivots.select("key", "id"), ["key", "id"], "left_anti"), roots))
         scratch.drop(members, pivots, near, tried, more, links)
         members, most = left, most * _GROWTH

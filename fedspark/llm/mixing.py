@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize
+from .common import WORD, apart, materialize, together
 
 #: Bins of rounding keys in a class of sizes.
 _BINS = 64
@@ -105,9 +105,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     two) to the smallest, the cut between down and up is set so that what the larger sizes left over is
     made up for by the smaller. The driver holds a few numbers a source, and sums of 64 bins for each
     source and power of two; the number of sources is the only thing they grow with. Null texts and
-    texts without a word have size 0 and rate 1; rows that repeat are rounded alike.
+    texts without a word have size 0 and rate 1; rows that repeat are rounded alike. Columns of docs with
+    the names of the added ones are replaced; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark, names = docs.sparkSession, docs.columns
+    docs, (doc_id, text, source) = apart(docs, doc_id, text, source)
     sized = docs.select(F.col(source).cast("string").alias("source"), F.col(doc_id).cast("string").alias("id"), n_words(F.col(text)).alias("size"))
     sized = materialize(sized.select("source", "size", _draw(F.col("id"), F.col("size")).alias("draw")))
     sizes = materialize(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
@@ -135,7 +137,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     out = out.withColumn("__rate", rate)
     up = (F.col("__rate") < cap) & (F.col("__size") > 0) & (_bin(F.col("__draw"), F.col("__rate")) <= F.col("__cut"))
     out = out.withColumn("__copies", (F.floor("__rate") + up.cast("long")).cast("long"))
-    return out.select(*(docs[c] for c in docs.columns), "__size", "__source_size", "__target", "__rate", "__copies")
+    return together(out, names, "__size", "__source_size", "__target", "__rate", "__copies")
 
 
 def _class(size: Column) -> Column:
@@ -175,7 +177,8 @@ def _cuts(rows, sources: list[Source]) -> dict:
     return cuts
 
 
-def repeat(docs: DataFrame, **options) -> DataFrame:
+def repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: each document as often as it has copies, with the columns of docs."""
-    names = docs.columns
-    return mix(docs, **options).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*names)
+    plain, (a, b, c) = apart(docs, doc_id, text, source)
+    rows = mix(plain, doc_id=a, text=b, source=c, **options).where("__copies > 0")
+    return together(rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))), docs.columns)

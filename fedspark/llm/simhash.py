@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, materialize, ready_for_python
+from .common import fresh, give_back, materialize, ready_for_python
 from .components import connected_components
 from .runs import sorted_runs
 
@@ -163,8 +163,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     name = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), body.alias("body"))
     found = materialize(near_duplicates(docs.select(name.alias("name"), F.col(text).alias("text")), "name", "text", **options))
     same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    dropped = found.where(~same).select(F.col("doc_id.id").alias("__dropped"), F.col("doc_id.body").alias("__body")).distinct()
-    kept = docs.withColumn("__at", body).join(dropped, F.col(doc_id).eqNullSafe(F.col("__dropped")) & (F.col("__at") == F.col("__body")), "left_anti")
+    at, dropped, its = fresh(docs, "at", "dropped", "its")
+    gone = found.where(~same).select(F.col("doc_id.id").alias(dropped), F.col("doc_id.body").alias(its)).distinct()
+    kept = docs.withColumn(at, body).join(gone, F.col(doc_id).eqNullSafe(F.col(dropped)) & (F.col(at) == F.col(its)), "left_anti")
     if not found.where(same).groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([doc_id, "__at"])
-    return kept.drop("__at")
+        kept = kept.dropDuplicates([doc_id, at])
+    return kept.drop(at)

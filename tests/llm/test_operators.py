@@ -578,3 +578,62 @@ def test_language_id_learns_from_two_thousand(spark, monkeypatch):
     df = spark.range(3200).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 2 = 0, 'en', 'de') as lang")
     langs = language_id.train(df)
     assert langs.count("en") == langs.count("de") == 1000
+
+
+# ---- all
+
+
+def test_extra_columns_with_clashing_names(spark):
+    taken = ["__size", "__key", "__draw", "__target", "__copies", "__of", "__id", "__at", "at", "body", "own", "__text", "__lines", "__found", "found", "__lang", "c0", "draw"]
+    df = docs(spark, ["the cat and the dog are here now\nanother line"] * 3 + ["der hund und die katze sind jetzt da", None], lang=["en"] * 3 + ["de"] * 2)
+    wide = df
+    for k, name in enumerate(taken):
+        wide = wide.withColumn(name, df["doc_id"] + k)
+    mixed = mixing.mix(wide)
+    assert set(mixed.columns) == {*wide.columns, "__source_size", "__rate"}
+    got = {(r["doc_id"], r["__copies"], r["__key"], r["c0"]) for r in mixed.collect()}
+    want = {(r["doc_id"], r["__copies"], r["doc_id"] + 1, r["doc_id"] + 16) for r in mixing.mix(df).collect()}
+    assert got == want
+    again = mixing.repeat(wide)
+    assert again.columns == wide.columns and all(r["__size"] == r["doc_id"] for r in again.collect())
+    named = language_id.identify(wide, language_id.train(wide))
+    assert all(r["found"] == r["doc_id"] + 14 and r["__lang"] in ("en", "de", "und") for r in named.collect())
+    assert simhash.keep_one(wide).columns == wide.columns
+    assert sorted(r["doc_id"] for r in simhash.keep_one(wide).collect()) == [0, 3, 4]
+    kept = {r["doc_id"]: (r["__text"], r["__kept"], r["own"]) for r in line_dedup.dedup_lines(wide).collect()}
+    assert kept[0] == ("the cat and the dog are here now\nanother line", 2, 10) and kept[1] == ("", 0, 11) and kept[4] == (None, 0, 14)
+
+
+def test_repeated_rows_come_out_repeated(spark):
+    text = "the cat and the dog are here now with ten words or more"
+    df = docs(spark, [text, "other words stand here and they are not the same at all"])
+    both = df.union(df)
+    rows = lambda out: sorted(map(str, out.collect()))
+    labels = spark.createDataFrame([], "doc_id long, good int")
+    for run in (
+        lambda d: token_counts.count_with_edits(d, queries.BYTE_TOKENIZER), lambda d: bpe.digests(d, queries.WORD_TOKENIZER), lambda d: quality_rules.filter_by_rules(d, labels), simhash.near_duplicates,
+        lambda d: language_id.identify(d, language_id.train(df)), lambda d: line_dedup.dedup_lines(d),
+    ):
+        assert rows(run(both)) == sorted(rows(run(df)) * 2)
+    vectors = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0)], "vec_id long, embedding array<double>, label int")
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(vectors).collect()) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
+    pages = spark.createDataFrame([(1, "http://a.com/x")] * 2, "page_id long, url string")
+    outcomes = spark.createDataFrame([], "page_id long, bad int")
+    assert url_filters.filter_urls(pages, outcomes, queries.URL_RULES).count() == 2
+    assert url_filters.filter_urls(pages.limit(0), outcomes, queries.URL_RULES).count() == 0
+
+
+def test_passes_grow_with_the_vectors():
+    assert embedding_dedup.plan_passes(50_000) == (24, 16)
+    for n in (10**6, 10**8, 10**9):
+        passes, prefix = embedding_dedup.plan_passes(n)
+        equal = (1 - math.acos(0.98) / math.pi) ** prefix
+        assert (1 - equal) ** passes <= 5e-5 and n / 2**prefix <= 4
+
+
+def test_embedding_recall_of_a_whole_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
+    links = brute_links([(r["vec_id"], r["embedding"], r["label"]) for r in rows])
+    degree = collections.Counter(rows[x]["vec_id"] for p in links for x in p)
+    got = {r["vec_id"]: r["n_links"] for r in queries.op3_embedding_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert len(links) > 50 and got == {r["vec_id"]: degree[r["vec_id"]] for r in rows}
