@@ -128,9 +128,11 @@ class CountTree:
         if not new:
             found = []
         self.encoded += len(found)
-        self._set(first, new, sum(map(self.count, found)))
-        for k in touched[1:]:
-            self._set(k, "", 0)
+        # spread over the leaves it came from, so that none gathers its neighbours' text edit by edit
+        each = -(-len(found) // len(touched))
+        for i, k in enumerate(touched):
+            part = found[i * each : (i + 1) * each]
+            self._set(k, "".join(part), sum(map(self.count, part)))
 
     def apply(self, edits: Iterable[Edit]) -> int:
         """Applies edits given in positions of the text as it is, from the last to the first; returns how
