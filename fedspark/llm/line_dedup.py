@@ -22,7 +22,7 @@ _MOST_SENT = 1_000_000
 _WORDS = 32
 #: Lines up to which all of a bucket are pivots at once; pivots of a larger bucket in the first round, and by
 #: what they grow from round to round.
-_SMALL, _PIVOTS, _GROWTH = 16, 2, 4
+_SMALL, _PIVOTS, _GROWTH = 16, 16, 16
 #: Pairs above which it pays to verify one pair of two classes before the others.
 _MANY = 5_000
 
@@ -124,10 +124,9 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     class of the latter and is null for the former.
 
     Lines that share a band key are candidates. First each line is compared with the first line of one of
-    its buckets. Then, where a bucket holds different classes, rounds follow: up to 2, 8, 32 and so on of its
+    its buckets. Then, where a bucket holds different classes, rounds follow: up to 16, 256 and so on of its
     lines (of up to 16, all), of different classes, are pivots that all the bucket's lines of other classes
-    are compared with; then they leave the bucket, all their links in it being known. Few pivots bring most
-    of a group of near copies into one class, so that later rounds have little left to pair. So every pair of a bucket is
+    are compared with; then they leave the bucket, all their links in it being known. So every pair of a bucket is
     compared unless it is in one class already, and the rounds end when each bucket is empty or of
     one class. Pairs are made and weighed in one join, from which they only come out if marks of both
     shingle sets (2,048 bits) allow the similarity, which they never deny wrongly; the exact check follows.
