@@ -44,6 +44,10 @@ def byte_symbols() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+#: The byte that each of these characters stands for.
+_BYTE_OF = {s: b for b, s in enumerate(byte_symbols())}
+
+
 class MergeTable:
     """Vocabulary, ranks and sufficient lookahead of a byte-level BPE file in the tokenizers format."""
 
@@ -115,11 +119,10 @@ class Decoder:
 
     def __init__(self, pieces: dict[int, str], byte_level: bool):
         self.pieces, self.byte_level = pieces, byte_level
-        self.of_symbol = {s: b for b, s in enumerate(byte_symbols())}
-        self.reset()
+        self.state, self.first = codecs.getincrementaldecoder("utf-8")("replace"), True
 
     def reset(self) -> None:
-        self.state = codecs.getincrementaldecoder("utf-8")("replace")
+        self.state.reset()
         self.first = True
 
     def feed(self, token: int) -> str:
@@ -128,8 +131,8 @@ class Decoder:
             return ""
         if not self.byte_level:
             return self.joint() + piece
-        if all(c in self.of_symbol for c in piece):
-            return self.state.decode(bytes(self.of_symbol[c] for c in piece))
+        if all(c in _BYTE_OF for c in piece):
+            return self.state.decode(bytes(_BYTE_OF[c] for c in piece))
         return self.state.decode(piece.encode())
 
     def joint(self) -> str:
@@ -174,7 +177,8 @@ class Transducer:
         self.pieces, self.byte_level = pieces, (spec.get("decoder") or {}).get("type") == "ByteLevel"
         #: Words can be taken one by one only if the file drops white space before the merges.
         self.by_word = model.get("end_of_word_suffix") is not None
-        self.of_symbol = {s: b for b, s in enumerate(byte_symbols())}
+        #: For words alone: made once, as a corpus has more of them than texts.
+        self.of_word = Decoder(pieces, self.byte_level)
         self.plain_ascii = self.by_word and _WORD_SPLIT in json.dumps(spec["pre_tokenizer"])
         self.cache_words, self.young, self.old = cache_words, {}, {}
 
@@ -196,13 +200,14 @@ class Transducer:
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
         for piece, _ in self.pre.pre_tokenize_str(text):
-            yield from self.table.stream(bytes(self.of_symbol[c] for c in piece))
+            yield from self.table.stream(bytes(_BYTE_OF[c] for c in piece))
 
     def _word(self, word: str) -> tuple[int, str, str]:
         hit = self.young.get(word) or self.old.get(word)
         if hit is None:
             ids = self._tokens(word)
-            hit = (len(ids), " ".join(map(str, ids)), "".join(self.decode(ids)))
+            self.of_word.reset()
+            hit = (len(ids), " ".join(map(str, ids)), "".join(map(self.of_word.feed, ids)) + self.of_word.finish())
         if len(word) <= 64:
             if len(self.young) >= self.cache_words:
                 self.young, self.old = {}, self.young
