@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..errors import FederationError, ReadOnly, RowCountMismatch, from_remote
 from ..model import ForeignTable, UserMapping
 from ..session import connect
+from ..sources.embedded import append
 from ..sources.scan import jdbc_options, remote_rows
 from ..sources.tables import read_csv
 
@@ -36,7 +37,7 @@ def insert_remote(spark: SparkSession, table: ForeignTable, rows: DataFrame, use
     out = rows.selectExpr(*(f"`{c}` AS `{names[c]}`" for c in rows.columns))
     options = jdbc_options(table, user) | {"dbtable": table.remote, "batchsize": str(table.effective()["batch_size"])}
     try:
-        out.write.format("jdbc").options(**options).mode("append").save()
+        append(out, options)
     except Exception as e:
         raise from_remote(e) from e
 
@@ -50,7 +51,7 @@ def _staged(spark: SparkSession, table: ForeignTable, rows: DataFrame, user: Use
     options = jdbc_options(table, user) | {"dbtable": stage, "batchsize": str(table.effective()["batch_size"])}
     connection = connect(spark, table.server, user)
     try:
-        rows.write.format("jdbc").options(**options).mode("append").save()
+        append(rows, options)
         connection.setAutoCommit(False)
         try:
             yield stage, connection
