@@ -16,6 +16,7 @@ import codecs
 import hashlib
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -28,9 +29,13 @@ _NONE = 1 << 60
 _SHIFT = 21
 _LOW = (1 << _SHIFT) - 1
 _WORDS, _SPACE = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[\x20\x09-\x0D]")
-#: The split pattern of the word vocabulary as its file writes it, and as it reads for lower-case ASCII.
+#: The split pattern of the word vocabulary as its file writes it, and as it reads for lower-case text
+#: below U+0180 without spaces and controls. There the normalizer only turns to lower case, and stays there: nothing
+#: composes, and U+0130, which would become two characters, is left out.
 _WORD_SPLIT = json.dumps(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+_LATIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+")
+_LETTER, _NUMBER = ("".join(re.escape(chr(c)) for c in range(0x21, 0x180) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
+_LATIN_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -179,22 +184,31 @@ class Transducer:
         self.by_word = model.get("end_of_word_suffix") is not None
         #: For words alone: made once, as a corpus has more of them than texts.
         self.of_word = Decoder(pieces, self.byte_level)
-        self.plain_ascii = self.by_word and _WORD_SPLIT in json.dumps(spec["pre_tokenizer"])
-        self.cache_words, self.young, self.old = cache_words, {}, {}
-
-    def _tokens(self, text: str) -> list[int]:
-        if self.plain_ascii and text.isascii():
-            out: list[int] = []
-            table, window = self.table, self.table.window
-            for piece in _ASCII_PIECES.findall(text.lower()):
-                if len(piece) > window:
-                    out += table.stream(piece.encode())
-                    continue
-                ids = [table.inner[b] for b in piece[:-1].encode()]
-                ids.append(table.last[ord(piece[-1])])
-                out += table.merged(ids)
-            return out
-        return list(self._general(text))
+        self.plain = self.by_word and _WORD_SPLIT in json.dumps(spec["pre_tokenizer"]) and '"Lowercase"' in json.dumps(spec["normalizer"])
+        self.plain &= not self.byte_level and None not in (*self.table.inner, *self.table.last)
+        self.digits = {i: str(i) for i in pieces} if self.by_word else {}
+        self.cache_words = cache_words
+        self.forget()
+
+    def forget(self) -> None:
+        self.young, self.old, self.pieces_young, self.pieces_old = {}, {}, {}, {}
+
+    def _plain_pieces(self, word: str) -> list[str] | None:
+        """The pre-tokens of a word, where no more than lower case is needed for them. Each, taken as a word, is
+        its own only pre-token."""
+        return _LATIN_PIECES.findall(word.lower()) if self.plain and _LATIN.fullmatch(word) else None
+
+    def _plain_tokens(self, piece: str) -> list[int]:
+        raw, table = piece.encode(), self.table
+        if len(raw) > table.window:
+            return list(table.stream(raw))
+        ids = [table.inner[b] for b in raw]
+        ids[-1] = table.last[raw[-1]]
+        return table.merged(ids)
+
+    def _tokens(self, word: str) -> list[int]:
+        pieces = self._plain_pieces(word)
+        return list(self._general(word)) if pieces is None else [i for p in pieces for i in self._plain_tokens(p)]
 
     def _general(self, text: str) -> Iterator[int]:
         if self.normalizer is not None:
@@ -202,12 +216,30 @@ class Transducer:
         for piece, _ in self.pre.pre_tokenize_str(text):
             yield from self.table.stream(bytes(_BYTE_OF[c] for c in piece))
 
+    def _piece(self, piece: str) -> tuple[int, str, str]:
+        hit = self.pieces_young.get(piece) or self.pieces_old.get(piece)
+        if hit is None:
+            ids = self._plain_tokens(piece)
+            hit = (len(ids), " ".join([self.digits[i] for i in ids]), " ".join([self.pieces[i] for i in ids]))
+        if len(piece) <= 64:
+            if len(self.pieces_young) >= self.cache_words:
+                self.pieces_young, self.pieces_old = {}, self.pieces_young
+            self.pieces_young[piece] = hit
+        return hit
+
     def _word(self, word: str) -> tuple[int, str, str]:
         hit = self.young.get(word) or self.old.get(word)
         if hit is None:
-            ids = self._tokens(word)
-            self.of_word.reset()
-            hit = (len(ids), " ".join(map(str, ids)), "".join(map(self.of_word.feed, ids)) + self.of_word.finish())
+            pieces = self._plain_pieces(word)
+            if pieces is None:
+                ids = self._tokens(word)
+                self.of_word.reset()
+                hit = (len(ids), " ".join(map(str, ids)), "".join(map(self.of_word.feed, ids)) + self.of_word.finish())
+            elif len(pieces) == 1:
+                hit = self._piece(pieces[0])
+            else:  # words differ by capitals and marks more than their pre-tokens do
+                n, ids, text = zip(*map(self._piece, pieces))
+                hit = (sum(n), " ".join(ids), " ".join(text))
         if len(word) <= 64:
             if len(self.young) >= self.cache_words:
                 self.young, self.old = {}, self.young
@@ -320,7 +352,7 @@ def digests(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             found = [engine.digest(x.as_py()) for x in batch.column(1)]
             n, a, b = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        engine.young, engine.old = {}, {}
+        engine.forget()
         give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

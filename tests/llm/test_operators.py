@@ -672,3 +672,20 @@ def test_alignments_are_exact_at_any_length():
         assert all(p[0] == q[0] for p, q in found if p and q)
     a = [["z"], *([f"s{k}"] for k in range(600))]
     assert sum(1 for p, q in html_extract._aligned(a, [*a[1:], ["z"]]) if p and q) == 600
+
+
+def test_bpe_merges_a_pre_token_once():
+    """Words that differ by capitals and marks share the merges of their pre-tokens, and Latin letters need no call
+    of the library; ids and text are the library's."""
+    engine, merged = bpe.Transducer(queries.WORD_TOKENIZER), []
+    for name in ("merged", "stream"):
+        act = getattr(engine.table, name)
+        setattr(engine.table, name, lambda x, act=act: merged.append(1) or act(x))
+    engine.digest("Gebärden gebärden. GEBÄRDEN, (gebärden)")
+    assert len(merged) == 5  # the word and four runs of marks
+    latin = [chr(c) for c in range(0x21, 0x250)]
+    words = [*(f"{a}{b}x{a}" for a, b in zip(latin, latin[7:])), "İI", "ŸẞſŉĲ", "it's", "IT'S''s", "aª1²½_", "é" * 700, "éA", "\x1ca\x85b\xa0c", "Ʌb"]
+    for text in [" ".join(words), *words]:
+        ids, back = library(queries.WORD_TOKENIZER, text)
+        assert engine.digest(text) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()), text
+        assert list(engine.encode(text)) == ids
