@@ -689,3 +689,18 @@ def test_bpe_merges_a_pre_token_once():
         ids, back = library(queries.WORD_TOKENIZER, text)
         assert engine.digest(text) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()), text
         assert list(engine.encode(text)) == ids
+
+
+def test_language_id_sends_only_counts_over_zero(spark, monkeypatch):
+    """The driver gets 6 bytes for each different gram, and the same matrix in the same order."""
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda x, langs: seen.append((x.copy(), langs)))
+    texts = [f"the {w} and the dog" for w in ("cat", "cow", "hen", "cat")] + ["der hund und die katze", "x" * 70000 + "yz"]
+    df = spark.range(40).selectExpr("id as doc_id", f"element_at(array({', '.join(map(repr, texts))}), cast(id % 6 as int) + 1) as text", "if(id % 6 < 4, 'en', 'de') as lang")
+    sent, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: [sent.append(r) or r for r in collect(self)])
+    language_id.train(df)
+    (x, langs), = seen
+    assert max(sum(len(v) for v in r if isinstance(v, (bytes, bytearray))) for r in sent) < 1000
+    rows = [(r["lang"], language_id.counts(r["text"]).astype(np.float32).tobytes()) for r in collect(df.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))]
+    assert [(n, v.tobytes()) for n, v in zip(langs, x)] == sorted(rows)
