@@ -1,13 +1,15 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, high-recall banding, exact Jaccard
 verification, then connected components that keep one line each. DataFrame operations only.
 
-Equal lines are merged first, by two independent 64-bit hashes, so each different line is shingled
-once. Shingles are counted in UTF-8 bytes, which a binary column can cut in constant time. Lines that
-share a band get a number of their own, and all further work is on these.
+Equal lines are merged by two independent 64-bit hashes. Shingles are counted in UTF-8 bytes, which a
+binary column can cut in constant time. Lines that share a band get a number of their own, and all further
+work is on these.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ _CHUNK = 65_536
 _MOST_SENT = 1_000_000
 #: Longs of marks for a line: enough to tell lines of up to some thousand shingles apart.
 _WORDS = 32
+#: How many shingles a row of a band has on average that may be its least; and what stands for none.
+_LEAST, _NONE = 2, (1 << 31) - 1
 #: Lines up to which all of a bucket are pivots at once; pivots of a larger bucket in the first round, and by
 #: what they grow from round to round.
 _SMALL, _PIVOTS, _GROWTH = 16, 16, 16
@@ -41,29 +45,30 @@ def _hashed(lines: DataFrame, *more: str) -> DataFrame:
     return lines.select(*more, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _shingled(lines: DataFrame, ids: list[str], k: int) -> DataFrame:
-    """ids and h: the hash of each shingle, repeats included. A line shorter than a shingle is its own."""
-    bins = lines.select(*ids, F.col("line").cast("binary").alias("bin")).withColumn("last", F.greatest(F.octet_length("bin") - k, F.lit(0)))
-    chunks = bins.select(*ids, "bin", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(_CHUNK))).alias("from"))
-    each = chunks.select(*ids, "bin", F.explode(F.sequence("from", F.least(F.col("from") + F.lit(_CHUNK - 1), "last"))).alias("at"))
-    return each.select(*ids, F.xxhash64(F.substring("bin", F.col("at") + 1, F.lit(k))).alias("h"))
-
-
 def _signatures(lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """h1, h2, n (occurrences), b0, b1 and so on (a key for each band) for each different line.
 
-    Equal lines are merged before and after one shuffle of the text by hash; all else stays where it then
-    is. A shingle's hash deals it to one band, and the band's rows are the least of its shingles'
-    hashes under one of several flips of high bits: bands share no shingle, so they hit or miss
-    independently. A band without a shingle has no key; a line has at least one band.
+    Lines are shingled where they are read, and only the least hashes of each are shuffled. A shingle's hash
+    deals it to one band, and the band's rows are the least of its shingles' hashes under one of several flips
+    of high bits: bands share no shingle, so they hit or miss independently. A hash that is small under no flip
+    is not the least of a row but by chance, so it isn't weighed: of n shingles those below _LEAST / n of the
+    range of a row stay, and a line's first. A row without such takes the least of what its band has. A band
+    without a shingle has no key; a line has at least one band. A line shorter than a shingle is its own.
     """
-    whole = _hashed(lines, "line").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("n"))
-    h = _shingled(whole, ["h1", "h2", "n"], k)
-    dealt = h.select("h1", "h2", "n", F.pmod(F.shiftrightunsigned("h", 33), F.lit(bands)).cast("int").alias("band"), F.shiftright(F.shiftleft("h", 32), 32).cast("int").alias("x"))
-    step = (1 << 32) // rows
-    least = dealt.groupBy("h1", "h2", "band").agg(F.max("n").alias("n"), *(F.expr(f"min(x ^ cast({j * step - (1 << 31)} as int))").alias(f"m{j}") for j in range(rows)))
-    keys = least.select("h1", "h2", "n", "band", F.xxhash64("band", *(f"m{j}" for j in range(rows))).alias("key"))
-    return keys.groupBy("h1", "h2").agg(F.max("n").alias("n"), *(F.expr(f"max(key) filter (where band = {b})").alias(f"b{b}") for b in range(bands)))
+    bins = _hashed(lines, F.col("line").cast("binary").alias("bin")).withColumn("last", F.greatest(F.octet_length("bin") - k, F.lit(0)))
+    below = F.least(F.lit(float(1 << 32)), F.lit(float(_LEAST * bands << 32)) / (F.col("last") + 1)) - float(1 << 31) - 1
+    chunks = bins.select("h1", "h2", "bin", "last", below.cast("int").alias("below"), F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(_CHUNK))).alias("from"))
+    each = chunks.select("h1", "h2", "bin", "below", F.explode(F.sequence("from", F.least(F.col("from") + F.lit(_CHUNK - 1), "last"))).alias("at"))
+    # adding a partition's number, of which 0 is taken, keeps the optimizer from hashing once for each use
+    h = each.select("h1", "h2", "below", "at", (F.xxhash64(F.substring("bin", F.col("at") + 1, F.lit(k))) + F.least(F.spark_partition_id(), F.lit(0))).alias("h"))
+    x = F.shiftright(F.shiftleft("h", 32), 32).cast("int")
+    flips = [j * ((1 << 32) // rows) - (1 << 31) for j in range(rows)]
+    small = reduce(Column.__or__, [x.bitwiseXOR(F.lit(f)) <= F.col("below") for f in flips], F.col("at") == 0)
+    few = h.where(small).select("h1", "h2", "at", F.pmod(F.shiftrightunsigned("h", 33), F.lit(bands)).cast("int").alias("band"), (x + F.least(F.spark_partition_id(), F.lit(0))).alias("x"))
+    least = {f"m{b}_{j}": F.min(F.when(F.col("band") == b, F.col("x").bitwiseXOR(F.lit(f))).otherwise(_NONE)) for b in range(bands) for j, f in enumerate(flips)}
+    found = few.groupBy("h1", "h2").agg(F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"), *(v.alias(c) for c, v in least.items()))
+    keys = {f"b{b}": [f"m{b}_{j}" for j in range(rows)] for b in range(bands)}
+    return found.select("h1", "h2", "n", *(F.when(F.least(*of, F.lit(_NONE)) < _NONE, F.xxhash64(F.lit(b), *of)).alias(b) for b, of in keys.items()))
 
 
 def _sent(small: DataFrame, seen: dict) -> DataFrame:
@@ -81,19 +86,23 @@ def _shingles(line: str, k: int) -> Column:
 
 
 def _profiles(texts: DataFrame, k: int) -> DataFrame:
-    """id, n (shingles, repeats counted), marks: the set of shingles as 2,048 bits in an array of longs."""
-    h = _shingled(texts, ["id"], k)
-    h = h.select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WORDS - 1} as int)").alias("word"))
-    words = h.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("bits"))
-    found = words.groupBy("id").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
-    return found.select("id", "n", F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0))).alias("marks"))
+    """id, n (different shingles), marks: the parity of the shingles that fall on each of 2,048 bits, in an
+    array of longs. A line of more than _CHUNK bytes, which marks can't tell from others, has nulls."""
+    short = F.octet_length("line") <= _CHUNK
+    sets = texts.where(short).repartition("id").select("id", F.array_distinct(_shingles("line", k)).alias("set"))
+    h = sets.select("id", F.size("set").alias("n"), F.explode_outer("set").alias("h"))  # explode() would make a filter that shingles again
+    h = h.select("id", "n", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(h, 6) & {_WORDS - 1} as int)").alias("word"))
+    words = h.groupBy("id", "word").agg(F.max("n").alias("n"), F.bit_xor("bit").alias("bits"))
+    found = words.groupBy("id").agg(F.max("n").alias("n"), *(F.sum(F.when(F.col("word") == w, F.col("bits")).otherwise(0)).alias(f"w{w}") for w in range(_WORDS)))
+    marked = found.select("id", "n", F.array(*(f"w{w}" for w in range(_WORDS))).alias("marks"))
+    return marked.union(texts.where(~short).select("id", F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")))
 
 
 def _may_reach(similarity: float) -> Column:
-    """False only for pairs of profiles x_, y_ that can't have the similarity: marks on one side alone stand
-    for shingles on one side alone, and of these there are too many."""
+    """False only for pairs of profiles x_, y_ that can't have the similarity: each bit in which marks differ
+    stands for a shingle of its own that one side alone has, and of these there are too many."""
     apart = F.aggregate(F.zip_with("x_marks", "y_marks", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, v: total + v)
-    return apart * (1 + similarity) <= (1 - similarity) * (F.col("x_n") + F.col("y_n")) + 1e-9
+    return F.coalesce(apart * (1 + similarity) <= (1 - similarity) * (F.col("x_n") + F.col("y_n")) + 1e-9, F.lit(True))
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
@@ -126,29 +135,32 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
     Lines that share a band key are candidates. First each line is compared with the first line of one of
     its buckets. Then, where a bucket holds different classes, rounds follow: up to 16, 256 and so on of its
     lines (of up to 16, all), of different classes, are pivots that all the bucket's lines of other classes
-    are compared with; then they leave the bucket, all their links in it being known. So every pair of a bucket is
+    are compared with; then they leave the bucket, all their links in it being known. Two lines are compared
+    in that of their common buckets alone which has the least key. So every pair that shares a bucket is
     compared unless it is in one class already, and the rounds end when each bucket is empty or of
     one class. Pairs are made and weighed in one join, from which they only come out if marks of both
-    shingle sets (2,048 bits) allow the similarity, which they never deny wrongly; the exact check follows.
+    shingle sets (2,048 parities) allow the similarity, which they never deny wrongly; the exact check follows.
     """
     keep = scratch.keep
     with settings(lines.sparkSession, spark__sql__codegen__aggregate__map__twolevel__enabled="false"):
         signed = keep(_signatures(lines, k, bands, rows))
-        dealt = signed.select("h1", "h2", F.explode(F.array_compact(F.array(*(f"b{b}" for b in range(bands))))).alias("key"))
+        dealt = signed.select("h1", "h2", F.explode(F.array(*(f"b{b}" for b in range(bands)))).alias("key")).where("key is not null")
         shared, seen = scratch.counted(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
         crowd = keep(dealt.join(_sent(shared, seen), "key").select("key", "h1", "h2"))
         ids, seen = scratch.counted(crowd.select("h1", "h2").distinct())
         found = lines.select("line").join(_sent(ids, seen), (F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2")))
         texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line"))
         texts = keep(texts.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "line"))
-        profiles = keep(_profiles(texts, k))
-    members = keep(crowd.join(texts.select("id", "h1", "h2"), ["h1", "h2"]).select("key", "id"))
+        members = keep(crowd.join(texts.select("id", "h1", "h2"), ["h1", "h2"]).select("key", "id"))
+        profiles = keep(_profiles(texts, k).join(members.groupBy("id").agg(F.collect_list("key").alias("keys")), "id"))
     scratch.drop(shared, crowd, ids)
     may = _may_reach(similarity)
+    first = F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("x_key")
 
     heads = members.groupBy("key").agg(F.min("id").alias("head"))
     star = members.join(heads, "key").groupBy("id").agg(F.min("head").alias("head")).where("id <> head")
-    near = star.join(_side(profiles, "x_"), F.col("id") == F.col("x_id")).join(_side(profiles, "y_"), (F.col("head") == F.col("y_id")) & may)
+    marked = profiles.drop("keys")
+    near = star.join(_side(marked, "x_"), F.col("id") == F.col("x_id")).join(_side(marked, "y_"), (F.col("head") == F.col("y_id")) & may)
     links = keep(_verified(near.select(F.col("id").alias("a"), F.col("head").alias("b")), texts, k, similarity))
     roots = connected_components(links)
     scratch.drop(links)
@@ -158,7 +170,7 @@ def line_classes(lines: DataFrame, scratch: Scratch, k: int = 10, bands: int = 8
         pivots = members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "root")).alias("pivot"))
         pivots = keep(pivots.select("key", "pivot.id", "pivot.root"))
         x, y = _side(members.drop("n").join(profiles, "id"), "x_"), _side(pivots.join(profiles, "id"), "y_")
-        near = x.join(y, (F.col("x_key") == F.col("y_key")) & (F.col("x_root") != F.col("y_root")) & may)
+        near = x.join(y, (F.col("x_key") == F.col("y_key")) & (F.col("x_root") != F.col("y_root")) & first & may)
         near, seen = scratch.counted(near.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"), F.greatest("x_root", "y_root").alias("p"), F.least("x_root", "y_root").alias("q")).distinct())
         tried = near.select("a", "b")
         if seen["n"] > _MANY:  # first one pair for each two classes, then those that this has not brought together

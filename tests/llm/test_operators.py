@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fedspark.llm import bpe, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality_rules, queries, simhash, token_counts, url_filters
 from fedspark.llm.components import connected_components, merged_components
@@ -424,6 +425,28 @@ def test_line_dedup_compares_buckets_of_two(spark):
     assert [got[k] for k in range(len(texts))] == brute_lines(texts)
 
 
+def test_line_dedup_marks_tell_a_group_of_near_copies_apart(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8)))
+    base, lines = [word() for _ in range(60)], ["again and again and again and again", "y" * 70_000, "y" * 70_001]
+    for _ in range(90):  # about half of the pairs lie below the threshold, most of them just below
+        words = list(base)
+        for _ in range(r.randint(1, 5)):
+            words[r.randrange(60)] = word()
+        lines.append(" ".join(words) + r.choice(["", " and so on and so on and so on"]))
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    profiles = line_dedup._profiles(texts, 10)
+    sets = [frozenset(b[i : i + 10] for i in range(max(len(b) - 9, 1))) for b in (x.encode() for x in lines)]
+    assert {x["id"]: x["n"] for x in profiles.collect()} == {k: None if k in (1, 2) else len(s) for k, s in enumerate(sets)}
+    both = line_dedup._side(profiles, "x_").join(line_dedup._side(profiles, "y_"), F.expr("x_id < y_id"))
+    may = {(x["x_id"], x["y_id"]) for x in both.where(line_dedup._may_reach(0.8)).collect()}
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j)]
+    reach = lambda least: {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])}
+    links = reach(0.8)
+    assert links <= may
+    assert len(reach(0.72) - links) > 500 and len({p for p in may if p[0] > 2} - reach(0.77)) == 0
+
+
 def test_line_dedup_treats_equal_rows_alike(spark):
     df = docs(spark, ["one line here\nanother line"])
     both = df.union(df).withColumnRenamed("lang", "pos").withColumnRenamed("source", "line")
